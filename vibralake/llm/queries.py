@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from vibralake.llm import secrets
+from vibralake.llm import chat, exact_dedup, secrets
 from vibralake.llm.shared import table
 
 
@@ -12,9 +12,21 @@ def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digest(table(spark, sf_dir, "documents"))
 
 
+def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_dedup.digest(table(spark, sf_dir, "documents"))
+
+
+def op9_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.digest(table(spark, sf_dir, "conversations"))
+
+
 QUERIES = {
     "op1_secret_scan": op1_secret_scan,
+    "op2_exact_dedup": op2_exact_dedup,
+    "op9_chat_format": op9_chat_format,
 }
 SQL = {
     "op1_secret_scan": secrets.SQL,
+    "op2_exact_dedup": exact_dedup.SQL,
+    "op9_chat_format": chat.SQL,
 }
