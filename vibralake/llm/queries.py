@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from vibralake.llm import chat, exact_dedup, secrets
+from vibralake.llm import bpe, chat, exact_dedup, secrets
 from vibralake.llm.shared import table
 
 
@@ -16,6 +16,10 @@ def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.digest(table(spark, sf_dir, "documents"))
 
 
+def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.digest(table(spark, sf_dir, "documents"))
+
+
 def op9_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digest(table(spark, sf_dir, "conversations"))
 
@@ -23,6 +27,7 @@ def op9_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_secret_scan": op1_secret_scan,
     "op2_exact_dedup": op2_exact_dedup,
+    "op6_bpe": op6_bpe,
     "op9_chat_format": op9_chat_format,
 }
 SQL = {
