@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from vibralake.llm import bpe, chat, exact_dedup, secrets
+from vibralake.llm import bpe, chat, exact_dedup, line_dedup, secrets
 from vibralake.llm.shared import table
 
 
@@ -16,6 +16,10 @@ def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.digest(table(spark, sf_dir, "documents"))
 
 
+def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.digest(table(spark, sf_dir, "documents"))
+
+
 def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digest(table(spark, sf_dir, "documents"))
 
@@ -27,11 +31,13 @@ def op9_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_secret_scan": op1_secret_scan,
     "op2_exact_dedup": op2_exact_dedup,
+    "op4_line_dedup": op4_line_dedup,
     "op6_bpe": op6_bpe,
     "op9_chat_format": op9_chat_format,
 }
 SQL = {
     "op1_secret_scan": secrets.SQL,
     "op2_exact_dedup": exact_dedup.SQL,
+    "op4_line_dedup": line_dedup.SQL,
     "op9_chat_format": chat.SQL,
 }
