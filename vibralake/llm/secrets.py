@@ -60,9 +60,10 @@ def _let(value: Column, use) -> Column:
 def located(text: Column, found: Column, pattern: str) -> Column:
     """Positions of found = all matches of pattern in text: array of (start, end, match), in code points.
 
-    The text before each match is extracted only where there is a match.
+    The text before each match is extracted only where there is a match. \\G keeps the search after
+    the last match from starting again at every character.
     """
-    gaps = F.regexp_extract_all(text, F.lit(f"(?s)(.*?)(?:{pattern})"), F.lit(1))
+    gaps = F.regexp_extract_all(text, F.lit(rf"(?s)\G(.*?)(?:{pattern})"), F.lit(1))
     empty = F.array().cast("array<struct<start:int,end:int,hit:string>>")
     start = F.struct(F.lit(0).alias("at"), empty.alias("out"))
 
