@@ -21,6 +21,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from vibralake.llm.bloom import CODES, code_batch, sharded
 from vibralake.llm.shared import BLANKS, LOWER, UPPER, chunks, clean_columns, staged
 
 #: Bounds of what is broadcast: bytes of the second filters, and confirmed keys.
@@ -33,49 +34,6 @@ def line_key(line: str) -> str:
     return line.strip(BLANKS).translate(_FOLD)
 
 
-def _mixed(x: np.ndarray, seed: int) -> np.ndarray:
-    """An independent 64-bit hash of 64-bit hashes."""
-    x = x ^ np.uint64((seed * 0x9E3779B97F4A7C15) & 0xFFFFFFFFFFFFFFFF)
-    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
-
-
-class Bloom:
-    """A Bloom filter that grows by layers: 16 bits for a key, 6 probes, a layer's capacity fourfold the last one's."""
-
-    PROBES, BITS = 6, 16
-
-    def __init__(self, capacity: int = 4096, layers: list[np.ndarray] | None = None) -> None:
-        self.layers = layers if layers is not None else []
-        self.capacity, self.room = capacity, 0
-
-    def _places(self, keys: np.ndarray, layer: np.ndarray) -> Iterator[np.ndarray]:
-        mask = np.uint64(len(layer) * 8 - 1)
-        a, b = _mixed(keys, 1), _mixed(keys, 2) | np.uint64(1)
-        for i in range(self.PROBES):
-            yield (a + np.uint64(i) * b) & mask
-
-    def has(self, keys: np.ndarray) -> np.ndarray:
-        found = np.zeros(len(keys), bool)
-        for layer in self.layers:
-            there = np.ones(len(keys), bool)
-            for at in self._places(keys, layer):
-                there &= (layer[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8)) & 1 == 1
-            found |= there
-        return found
-
-    def add(self, keys: np.ndarray) -> None:
-        while len(keys):
-            if self.room == 0:
-                self.room = self.capacity * 4 ** len(self.layers)
-                self.layers.append(np.zeros(self.room * self.BITS // 8, np.uint8))
-            part, keys = keys[: self.room], keys[self.room :]
-            for at in self._places(part, self.layers[-1]):
-                np.bitwise_or.at(self.layers[-1], at >> np.uint64(3), np.uint8(1) << (at & np.uint64(7)).astype(np.uint8))
-            self.room -= len(part)
-
-
 def _keys(text: str | None, least: int) -> list[str]:
     """Distinct keys of a text that are long enough."""
     return list({k for k in map(line_key, (text or "").split("\n")) if len(k) >= least})
@@ -116,41 +74,9 @@ def dedup_lines(
         for batch in chunks(batches):
             codes = np.array([_code(k) for t in batch.column(1).to_pylist() for k in _keys(t, least_chars)], np.uint64)
             codes, counts = np.unique(codes, return_counts=True)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array((codes % np.uint64(shards)).astype(np.int32)), pa.array(codes.view(np.int64)), pa.array(counts > 1)], names=["shard", "code", "twice"]
-            )
+            yield code_batch(codes, counts > 1, shards)
 
-    def filters(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        once: dict[int, Bloom] = {}
-        twice: dict[int, Bloom] = {}
-        for batch in batches:
-            shard, code = batch.column(0).to_numpy(), batch.column(1).to_numpy().view(np.uint64)
-            again = batch.column(2).to_numpy(zero_copy_only=False)
-            for s in np.unique(shard).tolist():
-                mine = shard == s
-                codes, back, counts = np.unique(code[mine], return_inverse=True, return_counts=True)
-                more = counts > 1
-                np.logical_or.at(more, back, again[mine])
-                first = once.setdefault(s, Bloom())
-                seen = first.has(codes)
-                first.add(codes[~seen])
-                second = twice.setdefault(s, Bloom(1024))
-                second.add(codes[(more | seen) & ~second.has(codes)])
-        rows = [(s, i, layer.tobytes()) for s, b in twice.items() for i, layer in enumerate(b.layers)]
-        for s, i, bits in rows:
-            yield pa.RecordBatch.from_arrays([pa.array([s], pa.int32()), pa.array([i], pa.int32()), pa.array([bits], pa.binary())], names=["shard", "layer", "bits"])
-
-    made = staged(
-        slim.mapInArrow(hashes, "shard int, code bigint, twice boolean").repartition("shard").mapInArrow(filters, "shard int, layer int, bits binary"),
-        "line-filters",
-    )
-    size = made.agg(F.coalesce(F.sum(F.length("bits")), F.lit(0)).alias("n")).first()["n"]
-    known = None
-    if size <= filter_bytes:  # else every line is suspected
-        layers: dict[int, list[np.ndarray]] = {}
-        for row in made.orderBy("shard", "layer").toLocalIterator():
-            layers.setdefault(row["shard"], []).append(np.frombuffer(row["bits"], np.uint8))
-        known = spark.sparkContext.broadcast(layers)
+    known = sharded(slim.mapInArrow(hashes, CODES), True, filter_bytes, "line-filters")  # without it, every line is suspected
 
     def suspects(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in chunks(batches):
@@ -160,13 +86,7 @@ def dedup_lines(
                 ranks.extend([rank] * len(own))
                 keys.extend(own)
             if known is not None:
-                codes = np.array([_code(k) for k in keys], np.uint64)
-                shard, hit = codes % np.uint64(shards), np.zeros(len(codes), bool)
-                for s in np.unique(shard).tolist():
-                    if s in known.value:
-                        mine = shard == s
-                        hit[mine] = Bloom(layers=known.value[s]).has(codes[mine])
-                chosen = np.flatnonzero(hit).tolist()
+                chosen = np.flatnonzero(known.value.has(np.array([_code(k) for k in keys], np.uint64))).tolist()
                 ranks, keys = [ranks[i] for i in chosen], [keys[i] for i in chosen]
             yield pa.RecordBatch.from_arrays([pa.array(ranks, pa.int64()), pa.array(keys, pa.string())], names=["rank", "key"])
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from vibralake.llm import bpe, chat, exact_dedup, line_dedup, secrets
+from vibralake.llm import bpe, chat, exact_dedup, line_dedup, secrets, substring
 from vibralake.llm.shared import table
 
 
@@ -24,6 +24,10 @@ def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digest(table(spark, sf_dir, "documents"))
 
 
+def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring.digest(table(spark, sf_dir, "documents"))
+
+
 def op9_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digest(table(spark, sf_dir, "conversations"))
 
@@ -33,11 +37,13 @@ QUERIES = {
     "op2_exact_dedup": op2_exact_dedup,
     "op4_line_dedup": op4_line_dedup,
     "op6_bpe": op6_bpe,
+    "op7_substring_dedup": op7_substring_dedup,
     "op9_chat_format": op9_chat_format,
 }
 SQL = {
     "op1_secret_scan": secrets.SQL,
     "op2_exact_dedup": exact_dedup.SQL,
     "op4_line_dedup": line_dedup.SQL,
+    "op7_substring_dedup": substring.SQL,
     "op9_chat_format": chat.SQL,
 }
