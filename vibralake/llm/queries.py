@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from vibralake.llm import bpe, chat, exact_dedup, line_dedup, secrets, substring
+from vibralake.llm import bpe, chat, exact_dedup, line_dedup, ngram_join, secrets, substring
 from vibralake.llm.shared import table
 
 
@@ -28,6 +28,10 @@ def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring.digest(table(spark, sf_dir, "documents"))
 
 
+def op8_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.digest(table(spark, sf_dir, "documents"))
+
+
 def op9_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digest(table(spark, sf_dir, "conversations"))
 
@@ -38,6 +42,7 @@ QUERIES = {
     "op4_line_dedup": op4_line_dedup,
     "op6_bpe": op6_bpe,
     "op7_substring_dedup": op7_substring_dedup,
+    "op8_ngram_join": op8_ngram_join,
     "op9_chat_format": op9_chat_format,
 }
 SQL = {
@@ -45,5 +50,6 @@ SQL = {
     "op2_exact_dedup": exact_dedup.SQL,
     "op4_line_dedup": line_dedup.SQL,
     "op7_substring_dedup": substring.SQL,
+    "op8_ngram_join": ngram_join.SQL,
     "op9_chat_format": chat.SQL,
 }

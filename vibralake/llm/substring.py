@@ -35,12 +35,14 @@ WINDOW, ANCHOR = 35, 8
 FILTER_BYTES = 32 << 20
 _WORD = re.compile(r"[^\x20\x09-\x0D]+")
 _BASES = (0x9E3779B97F4A7C15 | 1, 0xD6E8FEB86659FD93 | 1)
+_FOLDED = np.arange(256, dtype=np.uint8)
+_FOLDED[65:91] += 32
 _SEPARATOR = np.zeros(256, bool)
 _SEPARATOR[[0x20, *range(0x09, 0x0E)]] = True
 
 
-def word_hashes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """64-bit hashes of all words of the texts, and the number of words of each text."""
+def word_hashes(texts: pa.Array, fold: bool = False) -> tuple[np.ndarray, np.ndarray]:
+    """64-bit hashes of all words of the texts (fold: A-Z in lower case), and the number of words of each text."""
     texts = texts.cast(pa.binary()).fill_null(b"")
     _, offsets, data = texts.buffers()
     offsets = np.frombuffer(offsets, np.int32, len(texts) + 1, texts.offset * 4).astype(np.int64)
@@ -48,6 +50,8 @@ def word_hashes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         return np.zeros(0, np.uint64), np.zeros(len(texts), np.int64)
     raw = np.frombuffer(data, np.uint8)[offsets[0] : offsets[-1]]
     offsets -= offsets[0]
+    if fold:
+        raw = _FOLDED[raw]
     inside = ~_SEPARATOR[raw]
     begins = inside.copy()
     begins[1:] &= ~inside[:-1]
