@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from vibralake.llm import bpe, chat, exact_dedup, line_dedup, ngram_join, secrets, substring
+from vibralake.llm import bpe, chat, exact_dedup, line_dedup, ngram_join, quality, secrets, substring
 from vibralake.llm.shared import table
 
 
@@ -20,6 +20,10 @@ def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.digest(table(spark, sf_dir, "documents"))
 
 
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digest(table(spark, sf_dir, "documents"))
 
@@ -40,6 +44,7 @@ QUERIES = {
     "op1_secret_scan": op1_secret_scan,
     "op2_exact_dedup": op2_exact_dedup,
     "op4_line_dedup": op4_line_dedup,
+    "op5_quality": op5_quality,
     "op6_bpe": op6_bpe,
     "op7_substring_dedup": op7_substring_dedup,
     "op8_ngram_join": op8_ngram_join,
