@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from vibralake.llm import bpe, chat, exact_dedup, line_dedup, ngram_join, quality, secrets, substring
+from vibralake.llm import ann, bpe, chat, exact_dedup, line_dedup, ngram_join, quality, secrets, substring
 from vibralake.llm.shared import table
 
 
@@ -40,6 +40,10 @@ def op9_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digest(table(spark, sf_dir, "conversations"))
 
 
+def op10_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.digest(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
     "op1_secret_scan": op1_secret_scan,
     "op2_exact_dedup": op2_exact_dedup,
@@ -49,6 +53,7 @@ QUERIES = {
     "op7_substring_dedup": op7_substring_dedup,
     "op8_ngram_join": op8_ngram_join,
     "op9_chat_format": op9_chat_format,
+    "op10_nearest": op10_nearest,
 }
 SQL = {
     "op1_secret_scan": secrets.SQL,
