@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from vibralake.llm import ann, bpe, chat, exact_dedup, line_dedup, ngram_join, quality, secrets, substring
+from vibralake.llm import ann, bpe, chat, exact_dedup, line_dedup, mixing, ngram_join, quality, secrets, substring
 from vibralake.llm.shared import table
 
 
@@ -16,6 +16,10 @@ def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.digest(table(spark, sf_dir, "documents"))
 
 
+def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.digest(table(spark, sf_dir, "documents"))
 
@@ -47,6 +51,7 @@ def op10_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_secret_scan": op1_secret_scan,
     "op2_exact_dedup": op2_exact_dedup,
+    "op3_mixing": op3_mixing,
     "op4_line_dedup": op4_line_dedup,
     "op5_quality": op5_quality,
     "op6_bpe": op6_bpe,
