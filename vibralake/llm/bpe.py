@@ -6,15 +6,15 @@ stands before it (two tokens are compatible if encoding their joined bytes gives
 So the distinct words of a batch go into a trie, and a depth-first walk hands the last tokens down:
 whatever prefix words share is encoded once, and a word's tokens are read backwards from its end.
 
-The words' encodings are kept between batches up to a bound; longer words than a bound are a path
-of their own, walked by the same rule without nodes.
+The trie isn't built of nodes: its depth-first order is that of the sorted words. The words'
+encodings are kept between batches up to a bound.
 """
 
 from __future__ import annotations
 
 import hashlib
 import json
-import os
+import struct
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -26,8 +26,8 @@ from pyspark.sql import functions as F
 
 from vibralake.llm.shared import chunks, clean_columns
 
-#: Words whose encodings a worker keeps, and the length in bytes from which a word is not kept.
-KEPT_WORDS, LONG_WORD = 400_000, 512
+#: Words and pairs of tokens that a worker keeps, and the length from which a word is not kept.
+KEPT_WORDS, KEPT_PAIRS, LONG_WORD = 600_000, 400_000, 64
 #: Fixed value: how the vocabulary's text is split before merging.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
@@ -60,8 +60,10 @@ class Vocabulary:
         self.longest = max(map(len, self.ids))
         self.words = regex.compile(PATTERN)
         self.split_added = regex.compile("(" + "|".join(map(regex.escape, sorted(self.added, key=len, reverse=True))) + ")") if self.added else None
-        self._fits: dict[tuple[bytes, bytes], bool] = {}
-        self._kept: dict[str, bytes] = {}
+        self.tokens = [self.bytes_of.get(i, b"") for i in range(max(self.bytes_of) + 1)]
+        self._fits: dict[int, bool] = {}
+        self._young: dict[str, bytes] = {}
+        self._old: dict[str, bytes] = {}
 
     def merged(self, word: bytes) -> list[bytes]:
         """The definition of the encoding: merge the pair of lowest rank, leftmost first, until none is left."""
@@ -73,88 +75,85 @@ class Vocabulary:
             parts[at : at + 2] = [parts[at] + parts[at + 1]]
         return parts
 
-    def fits(self, left: bytes, right: bytes) -> bool:
+    def fits(self, left: int, right: int) -> bool:
         """Whether the tokens may stand side by side."""
-        known = self._fits.get((left, right))
+        known = self._fits.get(left + 1 << 32 | right)
         if known is None:
-            if len(self._fits) > 2_000_000:
+            if len(self._fits) > KEPT_PAIRS:
                 self._fits.clear()
-            known = self._fits[left, right] = self.merged(left + right) == [left, right]
+            a, b = self.tokens[left], self.tokens[right]
+            known = self._fits[left + 1 << 32 | right] = (a, b) not in self.ranks and self.merged(a + b) == [a, b]
         return known
 
-    def last_token(self, word: bytes, end: int, lasts: list[bytes]) -> bytes:
-        """The last token of word[:end], from the last tokens of all shorter prefixes (lasts[0] is empty)."""
-        ids = self.ids
-        for n in range(min(end, self.longest), 0, -1):
-            token = word[end - n : end]
-            if token in ids and (n == end or self.fits(lasts[end - n], token)):
-                if n < end or self.merged(token) == [token]:
-                    return token
-        raise ValueError("the vocabulary lacks a byte")
-
-    def unwound(self, end: int, lasts: list[bytes]) -> bytes:
-        """Identifiers as little-endian 32-bit integers, from the last tokens along a path."""
-        out = []
-        while end:
-            out.append(self.ids[lasts[end]])
-            end -= len(lasts[end])
-        return np.array(out[::-1], "<u4").tobytes()
-
-    def encode_words(self, words: set[str]) -> dict[str, bytes]:
-        """Encodings of distinct words: trie, depth-first walk, unwinding at each word's end."""
+    def encode_words(self, words: list[str]) -> dict[str, bytes]:
+        """Encodings of distinct words, as little-endian 32-bit integers.
+
+        In sorted order, the words are the trie in depth-first order: the path that a word shares
+        with the one before it stays, with the last tokens of all prefixes on it, and only the rest
+        is walked. At a word's end its tokens are read backwards along the path.
+        """
         made: dict[str, bytes] = {}
-        root: dict = {}
-        for text in words:
-            word = text.encode()
-            if len(word) > LONG_WORD:
-                lasts = [b""]
-                for end in range(1, len(word) + 1):
-                    lasts.append(self.last_token(word, end, lasts))
-                made[text] = self.unwound(len(word), lasts)
-                continue
-            node = root
-            for byte in word:
-                node = node.setdefault(byte, {})
-            node[-1] = text
-        path, lasts = bytearray(), [b""]
-        stack: list[tuple[int, int, dict | str]] = [(0, b, n) for b, n in root.items()]
-        while stack:
-            depth, byte, node = stack.pop()
-            if byte == -1:
-                del path[depth:], lasts[depth + 1 :]
-                made[node] = self.unwound(depth, lasts)
-                continue
-            del path[depth:], lasts[depth + 1 :]
-            path.append(byte)
-            lasts.append(self.last_token(bytes(path), depth + 1, lasts))
-            stack.extend((depth + 1, b, n) for b, n in node.items())
+        ids, longest, fits = self.ids, self.longest, self.fits
+        path = b""
+        last, width = [0], [0]  # of the prefix of each length: its last token, and that token's length
+        for word, text in sorted((w.encode(), w) for w in words):
+            shared, most = 0, min(len(path), len(word))
+            while shared < most and path[shared] == word[shared]:
+                shared += 1
+            del last[shared + 1 :], width[shared + 1 :]
+            for end in range(shared + 1, len(word) + 1):
+                for n in range(min(end, longest), 0, -1):
+                    token = ids.get(word[end - n : end])
+                    if token is not None and (fits(last[end - n], token) if n < end else self.whole(token)):
+                        last.append(token)
+                        width.append(n)
+                        break
+                else:
+                    raise ValueError("the vocabulary lacks a byte")
+            path, end, out = word, len(word), []
+            while end:
+                out.append(last[end])
+                end -= width[end]
+            out.reverse()
+            made[text] = struct.pack(f"<{len(out)}I", *out)
         return made
 
+    def whole(self, token: int) -> bool:
+        """Whether a token is the encoding of its own bytes."""
+        known = self._fits.get(token)
+        if known is None:
+            known = self._fits[token] = self.merged(self.tokens[token]) == [self.tokens[token]]
+        return known
+
     def encode_batch(self, texts: list[str]) -> list[bytes]:
         """Encodings of whole texts; strings of added tokens become these."""
         split: list[list[str]] = []
-        fresh: set[str] = set()
         for text in texts:
             words: list[str] = []
             for piece in self.split_added.split(text) if self.split_added else [text]:
                 words.extend([piece] if piece in self.added else self.words.findall(piece))
             split.append(words)
-            fresh.update(words)
-        known = self._kept
-        if len(known) + len(fresh) > KEPT_WORDS:
-            known.clear()
-        if not known:
-            known.update((t, np.array([i], "<u4").tobytes()) for t, i in self.added.items())
-        found = self.encode_words({w for w in fresh if w not in known})
+        known: dict[str, bytes] = {t: struct.pack("<I", i) for t, i in self.added.items()}
+        fresh = []
+        for word in set().union(*split) - known.keys():
+            code = self._young.get(word)
+            if code is None:
+                code = self._old.get(word)
+                if code is None:
+                    fresh.append(word)
+                    continue
+                self._young[word] = code
+            known[word] = code
+        found = self.encode_words(fresh)
         known.update(found)
         out = [b"".join(map(known.__getitem__, words)) for words in split]
-        for word in found:
-            if len(word) > LONG_WORD // 4:
-                del known[word]
+        self._young.update((w, c) for w, c in found.items() if len(w) <= LONG_WORD)
+        if len(self._young) > KEPT_WORDS // 2:  # words that aren't met again while the next half fills go
+            self._old, self._young = self._young, {}
         return out
 
     def decode(self, ids: bytes) -> str:
-        return b"".join(map(self.bytes_of.__getitem__, np.frombuffer(ids, "<u4").tolist())).decode("utf-8", "replace")
+        return b"".join(map(self.tokens.__getitem__, np.frombuffer(ids, "<u4").tolist())).decode("utf-8", "replace")
 
 
 @lru_cache(maxsize=2)
