@@ -41,8 +41,11 @@ _SEPARATOR = np.zeros(256, bool)
 _SEPARATOR[[0x20, *range(0x09, 0x0E)]] = True
 
 
-def word_hashes(texts: pa.Array, fold: bool = False) -> tuple[np.ndarray, np.ndarray]:
-    """64-bit hashes of all words of the texts (fold: A-Z in lower case), and the number of words of each text."""
+def word_hashes(texts: pa.Array, fold: bool = False, separator: np.ndarray = _SEPARATOR) -> tuple[np.ndarray, np.ndarray]:
+    """64-bit hashes of all words of the texts (fold: A-Z in lower case), and the number of words of each text.
+
+    separator: for each byte, whether it parts words.
+    """
     texts = texts.cast(pa.binary()).fill_null(b"")
     _, offsets, data = texts.buffers()
     offsets = np.frombuffer(offsets, np.int32, len(texts) + 1, texts.offset * 4).astype(np.int64)
@@ -52,7 +55,7 @@ def word_hashes(texts: pa.Array, fold: bool = False) -> tuple[np.ndarray, np.nda
     offsets -= offsets[0]
     if fold:
         raw = _FOLDED[raw]
-    inside = ~_SEPARATOR[raw]
+    inside = ~separator[raw]
     begins = inside.copy()
     begins[1:] &= ~inside[:-1]
     first = offsets[:-1][np.diff(offsets) > 0]
