@@ -34,6 +34,8 @@ from vibralake.llm.substring import Rolling, word_hashes
 WORDS, PERCENT = 5, 80
 #: Counters of the sketch that orders columns (fixed size, 4 MB), bytes of broadcast filters, entries in a block.
 SKETCH, SKETCH_BLOCKS, FILTER_BYTES, BLOCK = 1 << 20, 16, 32 << 20, 4096
+#: Products taken at once in a task.
+PRODUCT = 1 << 19
 
 
 class Rows:
@@ -46,12 +48,11 @@ class Rows:
         doc = np.repeat(np.arange(len(counts)), many)
         begin = np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many) + firsts[doc]
         code = Rolling(hashes, 0).of(begin, np.minimum(begin + words, firsts[doc] + counts[doc]))
-        order = np.lexsort((code, doc))
-        doc, code = doc[order], code[order]
-        fresh = np.ones(len(doc), bool)
-        fresh[1:] = (doc[1:] != doc[:-1]) | (code[1:] != code[:-1])
-        self.doc, self.code = doc[fresh], code[fresh]
-        self.size = np.bincount(self.doc, minlength=len(counts)).astype(np.int64)
+        ends = np.cumsum(many)
+        own = [np.unique(code[e - n : e]) for e, n in zip(ends.tolist(), many.tolist(), strict=True)]
+        self.size = np.array([len(x) for x in own], np.int64)
+        self.code = np.concatenate(own) if own else np.zeros(0, np.uint64)
+        self.doc = np.repeat(np.arange(len(counts)), self.size)
         self.first = np.cumsum(self.size) - self.size
         self.node = [np.zeros(len(counts), np.uint64) for _ in range(2)]
         some = np.flatnonzero(self.size)
@@ -61,11 +62,11 @@ class Rows:
 
     def prefixes(self, sketch: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Document, code and place of each prefix entry, columns ordered from rare to frequent."""
-        order = np.lexsort((self.code, sketch[self.code & np.uint64(SKETCH - 1)], self.doc))
-        place = np.arange(len(order)) - self.first[self.doc]
-        length = self.size + (-percent * self.size // 100) + 1  # size - ceil(t * size) + 1
-        chosen = place < length[self.doc]
-        return self.doc[chosen], self.code[order][chosen], place[chosen]
+        rarity = sketch[self.code & np.uint64(SKETCH - 1)]
+        length = np.where(self.size > 0, self.size + (-percent * self.size // 100) + 1, 0)  # size - ceil(t * size) + 1
+        spans = zip(self.first.tolist(), self.size.tolist(), length.tolist(), strict=True)
+        chosen = np.concatenate([f + np.argsort(rarity[f : f + n], kind="stable")[:k] for f, n, k in spans] or [np.zeros(0, np.int64)]).astype(np.int64)
+        return self.doc[chosen], self.code[chosen], np.arange(len(chosen)) - np.repeat(np.cumsum(length) - length, length)
 
 
 def _signed(x: np.ndarray) -> pa.Array:
@@ -155,30 +156,35 @@ def _blocks(index: DataFrame, percent: int) -> DataFrame:
     order = ["code", "held", "flow"]
 
     def multiplied(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, kept = None, np.zeros((7, 0), np.int64)
+        carry = np.zeros((10, 0), np.int64)  # the held rows of the last block: code held flow role n1 n2 size place root1 root2
         for batch in batches:
-            data = np.array([c.to_numpy() for c in batch.columns], np.int64)  # code held flow role n1 n2 size place root1 root2
-            edge = np.flatnonzero(np.any(data[:3, 1:] != data[:3, :-1], axis=0) | (data[3, 1:] != data[3, :-1])) + 1
-            for part in np.split(data, edge, axis=1):
-                group = tuple(part[:3, 0].tolist())
-                if group != key:
-                    key, kept = group, np.zeros((6, 0), np.int64)
-                if part[3, 0] == 0:
-                    kept = np.concatenate([kept, part[4:]], axis=1)
-                    continue
-                for at in range(0, part.shape[1], 256):
-                    x, y = part[4:, at : at + 256, None], kept[:, None, :]
-                    n, p, m, q = x[2], x[3], y[2], y[3]
-                    fits = (100 * m >= percent * n) & (percent * m <= (100 + percent) * (n - p) - percent * n)
-                    fits &= (100 * n >= percent * m) & (percent * n <= (100 + percent) * (m - q) - percent * m)
-                    fits &= (x[4] != y[4]) | (x[5] != y[5])
-                    i, j = np.nonzero(fits)
-                    a, b = part[4:6, at + i], kept[:2, j]
-                    turn = (a[0] > b[0]) | (a[0] == b[0]) & (a[1] > b[1])
-                    a, b = np.where(turn, b, a), np.where(turn, a, b)
-                    both = np.unique(np.concatenate([a, b]), axis=1)
-                    if both.shape[1]:
-                        yield _batch([pa.array(c) for c in both], "a1 a2 b1 b2")
+            data = np.concatenate([carry, np.array([c.to_numpy() for c in batch.columns], np.int64).reshape(10, -1)], axis=1)
+            if not data.shape[1]:
+                continue
+            fresh = np.ones(data.shape[1], bool)
+            fresh[1:] = np.any(data[:3, 1:] != data[:3, :-1], axis=0)
+            starts, block = np.flatnonzero(fresh), np.cumsum(fresh) - 1
+            kept = np.add.reduceat(data[3] == 0, starts, dtype=np.int64)
+            rows = np.flatnonzero(data[3] == 1)
+            rows = rows[kept[block[rows]] > 0]
+            many, at = kept[block[rows]], 0
+            total = np.cumsum(many)
+            while at < len(rows):
+                end = max(at + 1, int(np.searchsorted(total, (total[at - 1] if at else 0) + PRODUCT, "right")))
+                n = many[at:end]
+                i = np.repeat(rows[at:end], n)
+                j = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + starts[block[i]]
+                n1, p1, n2, p2 = data[6, i], data[7, i], data[6, j], data[7, j]
+                fits = (100 * n2 >= percent * n1) & (percent * n2 <= (100 + percent) * (n1 - p1) - percent * n1)
+                fits &= (100 * n1 >= percent * n2) & (percent * n1 <= (100 + percent) * (n2 - p2) - percent * n2)
+                fits &= (data[8, i] != data[8, j]) | (data[9, i] != data[9, j])
+                a, b = data[4:6, i[fits]], data[4:6, j[fits]]
+                turn = (a[0] > b[0]) | (a[0] == b[0]) & (a[1] > b[1])
+                both = np.unique(np.concatenate([np.where(turn, b, a), np.where(turn, a, b)]), axis=1)
+                if both.shape[1]:
+                    yield _batch([pa.array(c) for c in both], "a1 a2 b1 b2")
+                at = end
+            carry = data[:, starts[-1] : starts[-1] + kept[-1]]
 
     dealt = held.unionByName(flow).select(*order, "role", *fields[1:]).repartition(*order).sortWithinPartitions(*order, "role")
     return dealt.mapInArrow(multiplied, "a1 bigint, a2 bigint, b1 bigint, b2 bigint").distinct()
@@ -230,30 +236,32 @@ def link_components(
         total[row["block"] * step : (row["block"] + 1) * step] = np.frombuffer(row["counts"], np.int64)
     sketch = spark.sparkContext.broadcast(np.minimum(total, np.iinfo(np.int32).max).astype(np.int32))
 
-    def columns(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in chunks(batches):
             rows = Rows(batch.column(3), words)
-            doc, code, _ = rows.prefixes(sketch.value, percent)
-            node = rows.node[0][doc]
+            doc, code, place = rows.prefixes(sketch.value, percent)
+            yield _batch([_signed(code), *[_signed(n[doc]) for n in rows.node], pa.array(rows.size[doc]), pa.array(place)], "code n1 n2 size place")
+
+    entry = "code bigint, n1 bigint, n2 bigint, size bigint, place bigint"
+    every = staged(work.mapInArrow(prefixes, entry), "prefixes")
+
+    def columns(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            code, node = batch.column(0).to_numpy().view(np.uint64), batch.column(1).to_numpy()
             order = np.lexsort((node, code))
             code, node = code[order], node[order]
             fresh = np.ones(len(code), bool)
-            fresh[1:] = (code[1:] != code[:-1]) | (node[1:] != node[:-1])  # equal sets of a chunk count once
+            fresh[1:] = (code[1:] != code[:-1]) | (node[1:] != node[:-1])  # equal sets side by side count once
             found, counts = np.unique(code[fresh], return_counts=True)
             yield code_batch(found, counts > 1, shards)
 
-    known = sharded(work.mapInArrow(columns, CODES), True, filter_bytes, "columns")
+    known = sharded(every.select("code", "n1").mapInArrow(columns, CODES), True, filter_bytes, "columns")
 
-    def entries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in chunks(batches):
-            rows = Rows(batch.column(3), words)
-            doc, code, place = rows.prefixes(sketch.value, percent)
-            if known is not None:
-                kept = known.value.has(code)
-                doc, code, place = doc[kept], code[kept], place[kept]
-            yield _batch([_signed(code), *[_signed(n[doc]) for n in rows.node], pa.array(rows.size[doc]), pa.array(place)], "code n1 n2 size place")
+    def shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(pa.array(known.value.has(batch.column(0).to_numpy().view(np.uint64))))
 
-    index = staged(work.mapInArrow(entries, "code bigint, n1 bigint, n2 bigint, size bigint, place bigint").distinct(), "entries")
+    index = staged((every if known is None else every.mapInArrow(shared, entry)).distinct(), "entries")
     nodes = staged(docs.filter("size > 0").groupBy("n1", "n2").agg(F.min("doc").alias("least"), F.count("*").alias("copies"), F.min(F.struct("key_a", "key_b")).alias("key")).select("n1", "n2", "least", "copies", "key.*"), "nodes")
 
     top = index.groupBy("code").agg(F.min(F.struct("place", "size", "n1", "n2")).alias("top"), F.count("*").alias("m")).filter("m > 1").select("code", "top")
