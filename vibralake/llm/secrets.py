@@ -147,25 +147,19 @@ def scan_secrets(df: DataFrame, text: str = "text", window: int = WINDOW) -> Dat
     named like the results are replaced. Null or empty texts have empty arrays; repeated rows give
     equal results; an empty table gives an empty result. Each row is handled alone, without a shuffle.
     """
-    work = F.coalesce(F.col(f"`{text}`").cast("string"), F.lit(""))
     patterns = {"assign": ASSIGN, "access": ACCESS, "hex": HEX}
     patterns |= {k: f"{c[0]}{{{window},}}" for k, c in CLASSES.items()}
-    kept = [c for c in df.columns if c not in ("base_spans", "all_spans")]
-    out = df.select(
-        *[F.col(f"`{c}`") for c in kept],
-        work.alias("__text"),
-        *[F.regexp_extract_all(work, F.lit(p), F.lit(0)).alias(f"__{k}") for k, p in patterns.items()],
-    )
-    out = out.select(
-        *[F.col(f"`{c}`") for c in kept],
-        *[located(F.col("__text"), F.col(f"__{k}"), p).alias(f"__{k}") for k, p in patterns.items()],
-    )
+    kept = [F.col(f"`{c}`") for c in df.columns if c.lower() not in ("base_spans", "all_spans")]
+    # The row travels as a struct, so that its columns can't clash with those made here.
+    rows = df.select(F.struct(*kept).alias("row"), F.coalesce(F.col(f"`{text}`").cast("string"), F.lit("")).alias("body"))
+    rows = rows.select("row", "body", *[F.regexp_extract_all("body", F.lit(p), F.lit(0)).alias(k) for k, p in patterns.items()])
+    rows = rows.select("row", *[located(F.col("body"), F.col(k), p).alias(k) for k, p in patterns.items()])
     number = {k: i for i, k in enumerate(KINDS)}
 
     def spans(kind: str) -> Column:
         made = lambda x: F.struct(x["start"].alias("start"), F.lit(number[kind]).alias("kind"), x["end"].alias("end"))
         if kind not in CLASSES:
-            hits = F.col(f"__{kind}")
+            hits = F.col(kind)
             if kind == "assign":
                 hits = F.filter(hits, lambda x: F.length(F.regexp_extract(x["hit"], ASSIGN, 2)) >= 6)
             return F.transform(hits, made)
@@ -176,19 +170,13 @@ def scan_secrets(df: DataFrame, text: str = "text", window: int = WINDOW) -> Dat
                 (x["start"] + y["start"]).alias("start"), F.lit(number[kind]).alias("kind"), (x["start"] + y["end"]).alias("end")
             ),
         )
-        suspects = F.filter(F.col(f"__{kind}"), lambda x: ~x["hit"].rlike(ALLOW))
+        suspects = F.filter(F.col(kind), lambda x: ~x["hit"].rlike(ALLOW))
         return F.flatten(F.transform(suspects, inner))
 
-    out = out.select(
-        *[F.col(f"`{c}`") for c in kept],
-        F.array_sort(F.concat(*[spans(k) for k in KINDS[:3]])).alias("base_spans"),
-        F.concat(*[spans(k) for k in CLASSES]).alias("__more"),
-    )
-    return out.select(
-        *[F.col(f"`{c}`") for c in kept],
-        "base_spans",
-        F.array_sort(F.concat("base_spans", "__more")).alias("all_spans"),
+    rows = rows.select(
+        "row", F.array_sort(F.concat(*[spans(k) for k in KINDS[:3]])).alias("base_spans"), F.concat(*[spans(k) for k in CLASSES]).alias("more")
     )
+    return rows.select("row.*", "base_spans", F.array_sort(F.concat("base_spans", "more")).alias("all_spans"))
 
 
 def spans_text(spans: Column) -> Column:
