@@ -26,21 +26,29 @@ from vibralake.llm.shared import BLANKS, LOWER, UPPER, chunks, clean_columns, st
 
 #: Bounds of what is broadcast: bytes of the second filters, and confirmed keys.
 FILTER_BYTES, CONFIRMED_KEYS = 32 << 20, 300_000
-_FOLD = str.maketrans(UPPER, LOWER)
+_FOLD = bytes.maketrans(UPPER.encode(), LOWER.encode())
+_BLANKS = BLANKS.encode()
+#: A code point has one byte that isn't a continuation; these are dropped to count code points.
+_CONTINUED = bytes(range(0x80, 0xC0))
 
 
-def line_key(line: str) -> str:
-    """What lines are compared by."""
-    return line.strip(BLANKS).translate(_FOLD)
+def line_keys(text: str | None) -> list[bytes]:
+    """What a text's lines are compared by, in UTF-8."""
+    return [line.strip(_BLANKS) for line in (text or "").encode().translate(_FOLD).split(b"\n")]
 
 
-def _keys(text: str | None, least: int) -> list[str]:
+def long_enough(key: bytes, least: int) -> bool:
+    """Whether a key has so many code points."""
+    return len(key) >= least and (len(key) >= 4 * least or len(key.translate(None, _CONTINUED)) >= least)
+
+
+def _keys(text: str | None, least: int) -> set[bytes]:
     """Distinct keys of a text that are long enough."""
-    return list({k for k in map(line_key, (text or "").split("\n")) if len(k) >= least})
+    return {k for k in line_keys(text) if long_enough(k, least)}
 
 
-def _code(key: str) -> int:
-    return xxhash.xxh3_64_intdigest(key.encode())
+def _code(key: bytes) -> int:
+    return xxhash.xxh3_64_intdigest(key)
 
 
 def dedup_lines(
@@ -80,7 +88,8 @@ def dedup_lines(
 
     def suspects(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in chunks(batches):
-            ranks, keys = [], []
+            ranks: list[int | None] = []
+            keys: list[bytes] = []
             for rank, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 own = _keys(t, least_chars)
                 ranks.extend([rank] * len(own))
@@ -88,9 +97,9 @@ def dedup_lines(
             if known is not None:
                 chosen = np.flatnonzero(known.value.has(np.array([_code(k) for k in keys], np.uint64))).tolist()
                 ranks, keys = [ranks[i] for i in chosen], [keys[i] for i in chosen]
-            yield pa.RecordBatch.from_arrays([pa.array(ranks, pa.int64()), pa.array(keys, pa.string())], names=["rank", "key"])
+            yield pa.RecordBatch.from_arrays([pa.array(ranks, pa.int64()), pa.array(keys, pa.binary())], names=["rank", "key"])
 
-    met = slim.mapInArrow(suspects, "rank bigint, key string").groupBy("key", "rank").agg(F.lit(1).alias("one"))
+    met = slim.mapInArrow(suspects, "rank bigint, key binary").groupBy("key", "rank").agg(F.lit(1).alias("one"))
     confirmed = staged(
         met.groupBy("key").agg(F.count("*").alias("n"), F.max("rank").alias("owner")).filter(F.col("n") >= least_docs).select(F.unhex(F.md5("key")).alias("digest"), "owner"),
         "line-keys",
@@ -109,10 +118,9 @@ def dedup_lines(
                 kept = lines
                 if gone:
                     kept = []
-                    for line in lines:
-                        key = line_key(line)
-                        if len(key) >= least_chars:
-                            digest = hashlib.md5(key.encode(), usedforsecurity=False).digest()
+                    for line, key in zip(lines, line_keys(t), strict=True):
+                        if long_enough(key, least_chars):
+                            digest = hashlib.md5(key, usedforsecurity=False).digest()
                             if digest in gone and (owners is None or owners[digest] != rank):
                                 continue
                         kept.append(line)
