@@ -162,7 +162,7 @@ def _loaded(content: str) -> Vocabulary:
 
 
 def encode_documents(df: DataFrame, text: str = "text", vocabulary: str | None = None, columns: tuple[str, ...] = ()) -> DataFrame:
-    """Identifier columns given, `ids` (binary, little-endian 32-bit) and `decoded` of every whole text.
+    """The columns given (but those named like the results or the text), `ids` (binary, little-endian 32-bit) and `decoded` of every whole text.
 
     vocabulary is the path of a tokenizer file on the driver; its content, a few MB whatever the
     input, goes to the workers once. A null text counts as empty and has no ids; strings of added
@@ -170,7 +170,7 @@ def encode_documents(df: DataFrame, text: str = "text", vocabulary: str | None =
     """
     with open(vocabulary or default_vocabulary(), encoding="utf-8") as file:
         content = df.sparkSession.sparkContext.broadcast(file.read())
-    work = df.select(*[F.col(f"`{c}`") for c in columns if c != text], F.coalesce(F.col(f"`{text}`").cast("string"), F.lit("")).alias("text"))
+    work = df.select(*[F.col(f"`{c}`") for c in columns if c.lower() not in (text.lower(), "ids", "decoded")], F.coalesce(F.col(f"`{text}`").cast("string"), F.lit("")).alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocab = _loaded(content.value)

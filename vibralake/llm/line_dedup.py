@@ -69,10 +69,11 @@ def dedup_lines(
     least_docs distinct identifiers lose all their lines but for those in the document with the
     smallest (or keep="largest") identifier that holds it, which keeps all its own. Rows with the
     same identifier are one document; rows without one are a document that comes last. Columns not
-    named are left out. An empty table gives an empty result.
+    named are left out, as are columns named like the results. An empty table gives an empty result.
     """
     spark = df.sparkSession
     turned = (lambda c: c) if keep == "largest" else F.bitwise_not
+    columns = tuple(c for c in columns if c.lower() not in ("n_lines", "n_dropped"))
     carried = [F.col(f"`{c}`").alias(f"__{i}") for i, c in enumerate(columns)]
     work = df.select(turned(F.col(f"`{identifier}`").cast("bigint")).alias("rank"), *carried, F.col(f"`{text}`").cast("string").alias("text"))
     slim = work.select("rank", "text")
