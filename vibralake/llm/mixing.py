@@ -37,13 +37,12 @@ _PARTS = np.zeros(256, bool)
 _PARTS[:128] = [not chr(b).isalnum() for b in range(128)]
 
 
-def features(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Buckets of all features, features of each text, and words of each text: words as they are, and in lower case without punctuation."""
+def features(texts: pa.Array) -> tuple[list[tuple[np.ndarray, np.ndarray]], np.ndarray]:
+    """Buckets of words and how many each text has, for words as they are and in lower case without punctuation; words of each text."""
     plain, counts = word_hashes(texts)
     bare, more = word_hashes(texts, fold=True, separator=_PARTS)
-    doc = np.concatenate([np.repeat(np.arange(len(counts)), counts), np.repeat(np.arange(len(more)), more)])
-    code = np.concatenate([plain, mixed(bare, 41)])
-    return (code[np.argsort(doc, kind="stable")] & np.uint64(BUCKETS - 1)).astype(np.int64), counts + more, counts
+    bucket = lambda code: (code & np.uint64(BUCKETS - 1)).astype(np.int64)
+    return [(bucket(plain), counts), (bucket(mixed(bare, 41)), more)], counts
 
 
 def _domain(labels: DataFrame, docs: DataFrame, language: str) -> DataFrame:
@@ -63,13 +62,14 @@ class Model:
         self.bucket = np.log(smooth / smooth.sum(axis=1, keepdims=True)).astype(np.float32)
         self.prior = np.log((rows + 1) / (rows + 1).sum())
 
-    def posteriors(self, code: np.ndarray, counts: np.ndarray) -> np.ndarray:
-        logits = np.repeat(self.prior[None, :], len(counts), axis=0)
-        some = np.flatnonzero(counts)
-        if len(some):
-            first = (np.cumsum(counts) - counts)[some]
-            for k in range(len(self.prior)):
-                logits[some, k] += np.add.reduceat(self.bucket[k][code], first, dtype=np.float64) / TEMPERATURE
+    def posteriors(self, sets: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
+        logits = np.repeat(self.prior[None, :], len(sets[0][1]), axis=0)
+        for code, counts in sets:
+            some = np.flatnonzero(counts)
+            if len(some):
+                first = (np.cumsum(counts) - counts)[some]
+                for k in range(len(self.prior)):
+                    logits[some, k] += np.add.reduceat(self.bucket[k][code], first, dtype=np.float64) / TEMPERATURE
         made = np.exp(logits - logits.max(axis=1, keepdims=True))
         return made / made.sum(axis=1, keepdims=True)
 
@@ -81,9 +81,9 @@ def fit_classifier(labelled: DataFrame, domains: list[str]) -> Model:
     def local(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums, rows = np.zeros((size, BUCKETS), np.int64), np.zeros(size, np.int64)
         for batch in chunks(batches):
-            code, counts, _ = features(batch.column(1))
             at = batch.column(0).to_numpy().astype(np.int64)
-            sums += np.bincount(np.repeat(at, counts) * BUCKETS + code, minlength=size * BUCKETS).reshape(size, BUCKETS)
+            for code, counts in features(batch.column(1))[0]:
+                sums += np.bincount(np.repeat(at, counts) * BUCKETS + code, minlength=size * BUCKETS).reshape(size, BUCKETS)
             rows += np.bincount(at, minlength=size)
         yield _sums(range(size), rows, sums)
 
@@ -169,6 +169,10 @@ def tempered(shares: dict[str, float], power: float) -> dict[str, float]:
     return {k: weight[k] / sum(weight.values()) * sum(good.values()) if k in good else 0.0 for k in shares}
 
 
+#: Columns that the operator makes.
+RESULTS = ("n_tokens", "domain", "posterior", "rate")
+
+
 def mix(
     df: DataFrame,
     labels: DataFrame,
@@ -180,8 +184,9 @@ def mix(
     least_rate: float = 0.0,
     labelled_rows: int = LABELLED_ROWS,
     targets: dict[str, float] | None = None,
+    with_text: bool = True,
 ) -> DataFrame:
-    """One row per row of df: identifier, columns, text, n_tokens, domain, posterior, rate.
+    """One row per row of df: identifier, columns, text (unless with_text is off), n_tokens, domain, posterior, rate.
 
     Domains are language/class, with class toxic, good or poor by the labels. targets gives shares
     of the tokens by domain (left out: 0); without it, the good domains share what the good have, in
@@ -189,10 +194,10 @@ def mix(
     one and posterior its probability; rate is how many times the document is to be used. Without
     any labelled row of df there are no domains: domain and posterior are null, and rates 1. A null
     text counts as empty and has no tokens: its domain is the likeliest beforehand. Repeated rows
-    get equal rates; an empty table gives none; columns that aren't named are left out.
+    get equal rates; an empty table gives none; columns that aren't named are left out, as are columns named like the results.
     """
     spark = df.sparkSession
-    carried = {f"__{i}": c for i, c in enumerate(columns)}
+    carried = {f"__{i}": c for i, c in enumerate(columns) if c.lower() not in RESULTS}
     work = df.select(
         F.col(f"`{identifier}`").cast("bigint").alias("doc"),
         F.col(f"`{language}`").cast("string").alias("language"),
@@ -204,10 +209,11 @@ def mix(
     if len(domains) > MOST_DOMAINS:
         raise ValueError(f"more than {MOST_DOMAINS} domains are labelled")
     named = [F.col(a).alias(c) for a, c in carried.items()]
+    body = [F.col("text").alias(text)] if with_text else []
     if not domains:
         n = F.size(F.filter(F.split("text", "[\\x20\\x09-\\x0D]+"), lambda w: w != "")).cast("bigint")
         nothing = [F.lit(None).cast("string").alias("domain"), F.lit(None).cast("double").alias("posterior"), F.lit(1.0).alias("rate")]
-        return work.select(F.col("doc").alias(identifier), *named, F.col("text").alias(text), n.alias("n_tokens"), *nothing)
+        return work.select(F.col("doc").alias(identifier), *named, *body, n.alias("n_tokens"), *nothing)
 
     numbered = known.select("doc", (F.array_position(F.array(*map(F.lit, domains)), F.col("domain")) - 1).cast("int").alias("number"))
     if known.count() <= labelled_rows:
@@ -216,11 +222,13 @@ def mix(
 
     def judged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in chunks(batches):
-            code, counts, words = features(batch.column(batch.num_columns - 1))
-            p = model.value.posteriors(code, counts)
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(words), pa.array([x.tobytes() for x in p], pa.binary())], names=[*batch.schema.names, "tokens", "posterior"])
+            sets, words = features(batch.column(batch.num_columns - 1))
+            p = model.value.posteriors(sets)
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(words), pa.array([x.tobytes() for x in p], pa.binary())], names=[*batch.schema.names[:-1], "tokens", "posterior"])
 
-    members = staged(work.select("text").mapInArrow(judged, "text string, tokens bigint, posterior binary").select("tokens", "posterior"), "members")
+    slim = ", ".join(f"`{c}` {t}" for c, t in work.dtypes[:-1])
+    rows = staged(work.mapInArrow(judged, f"{slim}, tokens bigint, posterior binary"), "members")
+    members = rows.select("tokens", "posterior")
     size = len(domains)
     expected = np.zeros(size)
 
@@ -238,19 +246,26 @@ def mix(
     gaps, steps, step, _ = fit_rates(members, size, np.array([wanted.get(k, 0.0) for k in domains]), total, least=least_rate)
 
     def rated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in chunks(batches):
-            code, counts, words = features(batch.column(batch.num_columns - 1))
-            p = model.value.posteriors(code, counts)
+        """Without text, from the staged posteriors; with it, from the text."""
+        for batch in chunks(batches) if with_text else batches:
+            if not batch.num_rows:
+                continue
+            if with_text:
+                sets, words = features(batch.column(batch.num_columns - 1))
+                p, kept, words = model.value.posteriors(sets), batch.columns, pa.array(words)
+            else:
+                p = np.frombuffer(b"".join(batch.column(batch.num_columns - 1).to_pylist()), np.float64).reshape(-1, size)
+                kept, words = batch.columns[:-2], batch.column(batch.num_columns - 2)
             rate = replayed(p, gaps, steps, step, RIDGE, least_rate)
             best = p.argmax(axis=1)
-            made = [pa.array(words), pa.array([domains[k] for k in best.tolist()], pa.string()), pa.array(p[np.arange(len(p)), best]), pa.array(rate)]
-            yield pa.RecordBatch.from_arrays([*batch.columns, *made], names=[*batch.schema.names, "n_tokens", "domain", "posterior", "rate"])
+            made = [words, pa.array([domains[k] for k in best.tolist()], pa.string()), pa.array(p[np.arange(len(p)), best]), pa.array(rate)]
+            yield pa.RecordBatch.from_arrays([*kept, *made], names=[*batch.schema.names[: len(kept)], "n_tokens", "domain", "posterior", "rate"])
 
-    fields = ", ".join(f"`{c}` {t}" for c, t in work.dtypes)
-    out = work.mapInArrow(rated, fields + ", n_tokens bigint, domain string, posterior double, rate double")
-    return out.select(F.col("doc").alias(identifier), *named, F.col("text").alias(text), "n_tokens", "domain", "posterior", "rate")
+    fields = slim + (", text string" if with_text else "")
+    out = (work if with_text else rows).mapInArrow(rated, fields + ", n_tokens bigint, domain string, posterior double, rate double")
+    return out.select(F.col("doc").alias(identifier), *named, *body, "n_tokens", "domain", "posterior", "rate")
 
 
 def digest(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """Every document with its likeliest domain and its rate."""
-    return mix(docs, labels).select("doc_id", "n_tokens", "domain", "posterior", "rate")
+    return mix(docs, labels, with_text=False).select("doc_id", "n_tokens", "domain", "posterior", "rate")
