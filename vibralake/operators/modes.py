@@ -104,8 +104,8 @@ def identify_modes(spectra: DataFrame) -> DataFrame:
 
     def run(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         found = modes_of(rows.sort_values("k")["mean"].to_numpy(np.float64))
-        if found is None:
-            return pd.DataFrame({c.split()[0]: [] for c in MODE_SCHEMA.split(", ")})
-        return pd.DataFrame({"sensor_id": key[0], "mode_no": np.arange(1, MODES + 1, dtype=np.int32), **found})
+        blank = {"idx": np.full(MODES, -1, np.int64)} | {c: np.zeros(MODES) for c in ("freq", "amp", "prominence", "left_hz", "right_hz", "low", "high")}
+        table = pd.DataFrame({"sensor_id": [str(key[0])] * MODES, "mode_no": np.arange(1, MODES + 1, dtype=np.int32), **(found or blank)})
+        return table if found else table.iloc[:0]
 
     return spectra.select("sensor_id", "k", "mean").groupBy("sensor_id").applyInPandas(run, MODE_SCHEMA)

@@ -13,9 +13,6 @@ from vibralake.operators.peaks import find_peaks
 from vibralake.operators.validate import guarded
 from vibralake.schemas import GRID_HIGH, GRID_LOW, GRID_POINTS, SAMPLING_RATE
 
-#: Waveforms of an hour in an Arrow batch: one has megabytes.
-BATCH = "16"
-
 
 def amplitude(v: np.ndarray, rate: float = SAMPLING_RATE) -> tuple[np.ndarray, np.ndarray]:
     """Frequencies and magnitudes of the real transform: no window, no detrending, no scaling."""

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from vibralake.functions.names import classify_sensor, hour_title, parse_file_name
 from vibralake.operators.features import waveform_noise, waveform_statistics
 from vibralake.operators.modes import identify_modes
-from vibralake.operators.spectrum import BATCH, average_spectrum, fft_amplitude, natural_frequencies
+from vibralake.operators.spectrum import average_spectrum, fft_amplitude, natural_frequencies
 from vibralake.operators.tracking import frequency_trend, track
 from vibralake.operators.validate import check_waveform
 from vibralake.schemas import DYNAMIC_COLUMNS, STATIC_COLUMNS
@@ -139,7 +139,6 @@ def process(spark: SparkSession, root: str, target: str, format: str = "parquet"
     Decoded waveforms are written once, then both passes read them. target gets status, waveforms,
     static_features, dynamic_features, modes, avg_spectrum, freq_trend, failed_sensors and titles.
     """
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH)
     members = archives.read_members(spark, f"{root.rstrip('/')}/*", recursive=False, max_files=max_files)
     done = sinks.finished_sensors(spark, f"{target}/static_features").union(sinks.finished_sensors(spark, f"{target}/dynamic_features"))
     names = members.withColumn("sensor_dir", F.get(F.split("path", "/"), F.size(F.split("path", "/")) - 2))

@@ -51,7 +51,8 @@ def static_features(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def accel_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _rounded(features.series_statistics(_series(spark, sf_dir), KEYS, "value"), 5)
+    rows = _rounded(features.series_statistics(_series(spark, sf_dir), KEYS, "value"), 5)
+    return rows.withColumns({c: F.col(c) + F.lit(0.0) for c in ("kurtosis", "skewness")})  # no negative zero
 
 
 def _noise(method: str):
@@ -307,7 +308,7 @@ SQL = {
   round(max(v) - min(v), 6) AS ptp, count(*) AS data_count, any_value({_ISSUES} = '') AS is_valid FROM s JOIN f USING (sensor_id, time) GROUP BY s.time, s.sensor_id""",
     "accel_stats": f"""WITH {_SERIES}, q AS (SELECT *, {_DEVIATION.format(2)} AS d2, {_DEVIATION.format(3)} AS d3 FROM s)
 SELECT sensor_id, time, round(avg(v), 5) AS mean, round(stddev_pop(v), 5) AS std, round(min(v), 5) AS min, round(max(v), 5) AS max, round(median(v), 5) AS median, round(max(v) - min(v), 5) AS ptp,
-  round(sqrt(avg(v * v)), 5) AS rms, round(coalesce(kurtosis_pop(v), 'nan'::DOUBLE), 5) AS kurtosis, round(coalesce(avg(d3) / nullif(pow(avg(d2), 1.5), 0), 'nan'::DOUBLE), 5) AS skewness, count(*) AS data_count
+  round(sqrt(avg(v * v)), 5) AS rms, round(coalesce(kurtosis_pop(v), 'nan'::DOUBLE), 5) + 0.0::DOUBLE AS kurtosis, round(coalesce(avg(d3) / nullif(pow(avg(d2), 1.5), 0), 'nan'::DOUBLE), 5) + 0.0::DOUBLE AS skewness, count(*) AS data_count
 FROM q GROUP BY sensor_id, time""",
     "validate_data": f"""WITH {_FACTS} SELECT sensor_id, time, n, {_ISSUES} AS issues, concat_ws(',', CASE WHEN n > 400000 THEN 'too_many_records' WHEN n < 320000 THEN 'too_few_records' END,
   CASE WHEN gap <> 0 AND (gap < 9 OR gap > 11) THEN printf('abnormal_time_delta_%.2fms', gap) END, CASE WHEN low < -100 OR high > 100 THEN printf('out_of_range_[%.2f,%.2f]', low, high) END,
