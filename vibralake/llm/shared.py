@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -33,12 +35,14 @@ def shared_folder(spark: SparkSession) -> str:
         return folder.rstrip("/")
     context = spark.sparkContext
     if not getattr(context, "_vibralake_folder", None):
+        # A folder of our own goes with the process; what is written to the cluster's folder is the cluster's to keep.
         local = context.master.startswith("local") and not context.master.startswith("local-cluster")
-        context._vibralake_folder = (
-            "file://" + tempfile.mkdtemp(prefix="vibralake-stage-")
-            if local
-            else spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_stages"
-        )
+        if local:
+            folder = tempfile.mkdtemp(prefix="vibralake-stage-")
+            atexit.register(shutil.rmtree, folder, ignore_errors=True)
+            context._vibralake_folder = f"file://{folder}"
+        else:
+            context._vibralake_folder = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_stages"
     return context._vibralake_folder
 
 
@@ -46,10 +50,23 @@ def staged(df: DataFrame, name: str, partition_by: tuple[str, ...] = ()) -> Data
     """Write df as Parquet in the shared folder and read it back: lineage ends at files that outlive executors."""
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    context = spark.sparkContext
+    context._vibralake_staged = [*getattr(context, "_vibralake_staged", []), path]
     df.write.option("compression", "zstd").partitionBy(*partition_by).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def drop_staged(spark: SparkSession) -> int:
+    """Delete all tables that staged() has written in this application; call it when results have been read. Returns their number."""
+    made = getattr(spark.sparkContext, "_vibralake_staged", [])
+    for path in made:
+        target = spark._jvm.org.apache.hadoop.fs.Path(path)
+        target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+    done = len(made)
+    made.clear()
+    return done
+
+
 def row_keys(*columns: Column | str) -> list[Column]:
     """Two 64-bit hashes that identify a row by content: equal rows share them, so recomputation is repeatable."""
     return [F.xxhash64(*columns).alias("key_a"), F.xxhash64(F.lit(1), *reversed(columns)).alias("key_b")]
