@@ -137,7 +137,7 @@ def train(texts: DataFrame) -> list[tuple[DataFrame, DataFrame]]:
 
 def score(wanted: DataFrame, model: list[tuple[DataFrame, DataFrame]]) -> DataFrame:
     """(gram, logp) for the distinct n-grams in wanted: sharded joins with the counts, from order 1 upwards."""
-    levels = [wanted.select("gram").distinct()]
+    levels = [staged(wanted.select("gram").distinct(), "kn-wanted")]
     for k in range(ORDER - 1, 0, -1):
         levels.append(levels[-1].select(F.col("gram").bitwiseAND(_low(k)).alias("gram")).distinct())
     below = None
@@ -148,16 +148,24 @@ def score(wanted: DataFrame, model: list[tuple[DataFrame, DataFrame]]) -> DataFr
         if below is not None:
             rows, lower = rows.join(below, "suffix"), F.col("lower")
         p = F.coalesce("part", F.lit(0.0)) + F.coalesce("weight", F.lit(1.0)) * lower
-        below = rows.select(F.col("gram").alias("suffix"), p.alias("lower"))
+        below = staged(rows.select(F.col("gram").alias("suffix"), p.alias("lower")), "kn-order")
     return below.select(F.col("suffix").alias("gram"), F.log("lower").alias("logp"))
 
 
+def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        columns = batch.column(0).to_numpy(), batch.column(1).to_numpy(zero_copy_only=False).astype(np.float32)
+        yield pa.RecordBatch.from_arrays([pa.array([c.tobytes()], pa.binary()) for c in columns], names=["grams", "logps"])
+
+
 def perplexities(work: DataFrame, scored: DataFrame, limit: int = SCORED_GRAMS) -> DataFrame:
     """work (with key_a, key_b and, as last column, text) with n_symbols and loss, the negative log-likelihood."""
     fields = ", ".join(f"`{c}` {t}" for c, t in work.dtypes)
     if scored.count() <= limit:
-        table = scored.toPandas()
-        shared = work.sparkSession.sparkContext.broadcast((table["gram"].to_numpy(), table["logp"].to_numpy(np.float32)))
+        parts = scored.mapInArrow(_packed, "grams binary, logps binary").collect()  # a row a batch: a tenth of the driver's memory that single rows take
+        table = [np.frombuffer(b"".join(bytes(p[c]) for p in parts), kind) for c, kind in (("grams", np.int64), ("logps", np.float32))]
+        del parts
+        shared = work.sparkSession.sparkContext.broadcast(tuple(table))
         made: list[Lookup] = []
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -197,6 +205,10 @@ def trusted_ids(labels: DataFrame) -> DataFrame:
     return every.filter("good = 1 and toxic = 0").select("doc")
 
 
+#: Columns that the operator makes.
+RESULTS = ("n_symbols", "perplexity", "threshold", "kept")
+
+
 def classify(
     df: DataFrame,
     labels: DataFrame,
@@ -214,9 +226,9 @@ def classify(
     is the quantile of its calibration rows' perplexity; with too few of them (or without a
     language) that of all calibration rows; without any it is null. A row is kept unless its
     perplexity is above its threshold; a null or empty text has no perplexity and is kept. Columns
-    that aren't named are left out; repeated rows give equal results; an empty table gives none.
+    that aren't named are left out, as are columns named like the results; repeated rows give equal results; an empty table gives none.
     """
-    carried = {f"__{i}": c for i, c in enumerate(columns)}
+    carried = {f"__{i}": c for i, c in enumerate(columns) if c.lower() not in RESULTS}
     work = df.select(
         F.col(f"`{identifier}`").cast("bigint").alias("doc"),
         F.coalesce(F.col(f"`{language}`").cast("string"), F.lit("")).alias("language"),
