@@ -10,6 +10,11 @@ import zipfile
 from pyspark.sql import SparkSession
 
 
+#: Bytes of an Arrow batch unless the session sets them: Spark's default of 64 MB, held by both sides
+#: for each task, is much of a small executor's memory.
+BATCH_SETTING, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", "8m"
+
+
 def local_session(cpus: int | str = "*", app: str = "vibralake", **conf: str) -> SparkSession:
     """A local session with the settings that the engine's semantics rely on."""
     builder = (
@@ -31,10 +36,12 @@ def local_session(cpus: int | str = "*", app: str = "vibralake", **conf: str) ->
 
 
 def ship(spark: SparkSession) -> SparkSession:
-    """Make the package importable in Python workers, whatever their working folder.
+    """Make the package importable in Python workers, whatever their working folder, and bound Arrow batches.
 
     The sources are zipped once per application and handed out by Spark's own file server.
     """
+    if spark.conf.get(BATCH_SETTING, None) is None:
+        spark.conf.set(BATCH_SETTING, BATCH_BYTES)
     context = spark.sparkContext
     if getattr(context, "_vibralake_shipped", False):
         return spark
