@@ -33,7 +33,7 @@ from vibralake.llm.substring import Rolling, word_hashes
 
 WORDS, PERCENT = 5, 80
 #: Counters of the sketch that orders columns (fixed size, 4 MB), bytes of broadcast filters, entries in a block.
-SKETCH, SKETCH_BLOCKS, FILTER_BYTES, BLOCK = 1 << 20, 16, 32 << 20, 4096
+SKETCH, SKETCH_BLOCKS, FILTER_BYTES, BLOCK = 1 << 20, 128, 32 << 20, 4096
 #: Products taken at once in a task.
 PRODUCT = 1 << 19
 
@@ -217,7 +217,8 @@ def link_components(
             yield _batch([batch.column(2), batch.column(0), batch.column(1), *map(_signed, rows.node), pa.array(rows.size), *none], names)
         for i, block in enumerate(np.split(counts, SKETCH_BLOCKS)):
             if block.any():
-                yield _batch([*[pa.nulls(1, pa.int64())] * 6, pa.array([i], pa.int32()), pa.array([block.tobytes()], pa.binary())], names)
+                small = np.minimum(block, np.iinfo(np.int32).max).astype(np.int32)
+                yield _batch([*[pa.nulls(1, pa.int64())] * 6, pa.array([i], pa.int32()), pa.array([small.tobytes()], pa.binary())], names)
 
     made = staged(work.mapInArrow(sized, "doc bigint, key_a bigint, key_b bigint, n1 bigint, n2 bigint, size bigint, block int, counts binary"), "rows")
     docs = made.filter("block is null").drop("block", "counts")
@@ -226,7 +227,7 @@ def link_components(
         sums: dict[int, np.ndarray] = {}
         for batch in batches:
             for i, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                sums[i] = sums.get(i, 0) + np.frombuffer(raw, np.int64)
+                sums[i] = sums.get(i, 0) + np.frombuffer(raw, np.int32).astype(np.int64)
         for i, block in sums.items():
             yield _batch([pa.array([i], pa.int32()), pa.array([block.tobytes()], pa.binary())], "block counts")
 
