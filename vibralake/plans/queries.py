@@ -211,7 +211,7 @@ def iterative_peaks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _modes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return modes.identify_modes(_average(spark, sf_dir))
+    return modes.identify_modes(_smooth(spark, sf_dir))
 
 
 def mode_selection(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -286,6 +286,37 @@ m AS (SELECT e.sensor_id, e.k, e.y, min(o.y) FILTER (o.k <= e.k) AS lmin, min(o.
   FROM e JOIN y o ON o.sensor_id = e.sensor_id AND o.k > e.lo AND o.k < e.hi GROUP BY e.sensor_id, e.k, e.y, lo, hi),
 b AS (SELECT m.sensor_id, m.k, m.y, m.y - greatest(lmin, rmin) AS prominence, max(o.k) FILTER (o.k <= m.k AND o.y = lmin) AS left_base, min(o.k) FILTER (o.k >= m.k AND o.y = rmin) AS right_base
   FROM m JOIN y o ON o.sensor_id = m.sensor_id AND o.k > lo AND o.k < hi GROUP BY m.sensor_id, m.k, m.y, lmin, rmin)"""
+_HALF = f"""{_PROMINENCE}, h AS (SELECT *, y - 0.5 * prominence AS h FROM b),
+c0 AS (SELECT h.sensor_id, h.k, h.h, coalesce(max(o.k) FILTER (o.k <= h.k AND o.y <= h), any_value(left_base)) AS lk, coalesce(min(o.k) FILTER (o.k >= h.k AND o.y <= h), any_value(right_base)) AS rk
+  FROM h JOIN y o ON o.sensor_id = h.sensor_id AND o.k BETWEEN left_base AND right_base GROUP BY h.sensor_id, h.k, h.h),
+c1 AS (SELECT c0.sensor_id, c0.k, (CASE WHEN l0.y < h THEN lk + (h - l0.y) / (l1.y - l0.y) ELSE lk END)::DOUBLE AS left_pos, (CASE WHEN u0.y < h THEN rk - (h - u0.y) / (u1.y - u0.y) ELSE rk END)::DOUBLE AS right_pos
+  FROM c0 JOIN y l0 ON l0.sensor_id = c0.sensor_id AND l0.k = lk JOIN y l1 ON l1.sensor_id = c0.sensor_id AND l1.k = lk + 1
+  JOIN y u0 ON u0.sensor_id = c0.sensor_id AND u0.k = rk JOIN y u1 ON u1.sensor_id = c0.sensor_id AND u1.k = rk - 1)"""
+_ADAPTED = """t0 AS (SELECT sensor_id, list(prominence) AS all_p FROM b GROUP BY sensor_id),
+t1 AS (SELECT t0.sensor_id, all_p, 0 AS rounds, (SELECT (max(y.y) - min(y.y)) * 0.05 FROM y WHERE y.sensor_id = t0.sensor_id) AS threshold FROM t0
+  UNION ALL SELECT sensor_id, all_p, rounds + 1, threshold * CASE WHEN len(list_filter(all_p, lambda v: v >= threshold)) > 5 THEN 1.5 ELSE 0.7 END FROM t1
+  WHERE rounds < 14 AND len(list_filter(all_p, lambda v: v >= threshold)) NOT BETWEEN 1 AND 5),
+t2 AS (SELECT *, len(list_filter(all_p, lambda v: v >= threshold)) AS peaks FROM t1),
+t AS (SELECT * FROM t2 WHERE peaks BETWEEN 1 AND 5)"""
+_STEP = (GRID_HIGH - GRID_LOW) / (GRID_POINTS - 1)
+#: Merging goes on from a sensor's list of candidates until no neighbours are too close; then the best three by score, in order of frequency, padded.
+_MODES = f"""{_HALF}, {_ADAPTED},
+k0 AS (SELECT b.sensor_id, list({{'k': b.k, 'f': {GRID_LOW} + b.k * {_STEP}, 'a': b.y, 'p': b.prominence, 'l': {GRID_LOW} + left_pos * {_STEP}, 'r': {GRID_LOW} + right_pos * {_STEP}}} ORDER BY b.k) AS c
+  FROM b JOIN c1 USING (sensor_id, k) JOIN t ON t.sensor_id = b.sensor_id AND b.prominence >= t.threshold GROUP BY b.sensor_id),
+k1 AS (SELECT sensor_id, c, list_filter(range(1, len(c)), lambda i: c[i+1].f - c[i].f < (c[i].r - c[i].l + c[i+1].r - c[i+1].l) / 2)[1] AS j FROM k0
+  UNION ALL SELECT sensor_id, d, list_filter(range(1, len(d)), lambda i: d[i+1].f - d[i].f < (d[i].r - d[i].l + d[i+1].r - d[i+1].l) / 2)[1]
+  FROM (SELECT sensor_id, CASE WHEN c[j].a >= c[j+1].a THEN list_concat(c[1:j], c[j+2:]) ELSE list_concat(c[1:j-1], c[j+1:]) END AS d FROM k1 WHERE j IS NOT NULL)),
+k2 AS (SELECT sensor_id, unnest(c) AS x FROM k1 WHERE j IS NULL),
+k3 AS (SELECT sensor_id, x, row_number() OVER (PARTITION BY sensor_id ORDER BY 0.7 * exp(-x.f / 10) + 0.3 * x.a / top DESC, x.f) AS place
+  FROM (SELECT *, max(x.a) OVER (PARTITION BY sensor_id) AS top FROM k2)),
+k4 AS (SELECT sensor_id, x, row_number() OVER (PARTITION BY sensor_id ORDER BY x.f) AS mode_no FROM k3 WHERE place <= 3),
+modes AS (SELECT s.sensor_id, s.mode_no::INT AS mode_no, coalesce(x.k, -1)::BIGINT AS idx, coalesce(x.f, 0)::DOUBLE AS freq, coalesce(x.a, 0)::DOUBLE AS amp, coalesce(x.p, 0)::DOUBLE AS prominence,
+  coalesce(x.l, 0)::DOUBLE AS left_hz, coalesce(x.r, 0)::DOUBLE AS right_hz, (CASE WHEN x.k IS NULL THEN 0 ELSE greatest(x.l, {GRID_LOW}) END)::DOUBLE AS low, (CASE WHEN x.k IS NULL THEN 0 ELSE least(x.r, {GRID_HIGH}) END)::DOUBLE AS high
+  FROM (SELECT sensor_id, unnest(range(1, 4)) AS mode_no FROM k0) s LEFT JOIN k4 ON k4.sensor_id = s.sensor_id AND k4.mode_no = s.mode_no)"""
+_TRACK = f"""{_MODES},
+v0 AS (SELECT a.vec_id, m.mode_no, m.freq AS ref, arg_max(k * 100.0::DOUBLE / n, (a.a, -k)) FILTER (k * 100.0 / n BETWEEN m.low AND m.high AND NOT (m.low = 0 AND m.high = 0)) AS f, a.label::VARCHAR AS sensor_id
+  FROM a JOIN modes m ON m.sensor_id = a.label::VARCHAR GROUP BY a.vec_id, m.mode_no, m.freq, a.label),
+v1 AS (SELECT vec_id, sensor_id, mode_no, ref, coalesce(f, 0)::DOUBLE AS f, to_timestamp(1704067200 + vec_id * 3600)::TIMESTAMP AS time FROM v0)"""
 _NAMES = """n AS (SELECT event_id, CASE event_id % 8
   WHEN 0 THEN 'bmaps_' || (event_id % 9) || '_DNA' || (event_id % 40) || '_' || strftime(ts, '%Y%m%d%H') || '.zip'
   WHEN 1 THEN 'bmaps_1_gcskyb01_' || strftime(ts, '%Y%m%d%H%M') || '.zip'
@@ -344,18 +375,27 @@ SELECT vec_id, coalesce(arg_max(freq, (a, -freq)) FILTER (freq BETWEEN 0.5 AND 1
   round(quantile_cont(a, 0.05), 6) AS p05, round(quantile_cont(a, 0.95), 6) AS p95 FROM g GROUP BY label, k""",
     "local_peaks": f"WITH {_CURVE} SELECT sensor_id, k, round(y, 6) AS height FROM p",
     "prominences": f"WITH {_PROMINENCE} SELECT sensor_id, k, round(prominence, 6) AS prominence, left_base, right_base FROM b",
-    "half_widths": f"""WITH {_PROMINENCE}, h AS (SELECT *, y - 0.5 * prominence AS h FROM b),
-c AS (SELECT h.sensor_id, h.k, h.h, coalesce(max(o.k) FILTER (o.k <= h.k AND o.y <= h), any_value(left_base)) AS lk, coalesce(min(o.k) FILTER (o.k >= h.k AND o.y <= h), any_value(right_base)) AS rk
-  FROM h JOIN y o ON o.sensor_id = h.sensor_id AND o.k BETWEEN left_base AND right_base GROUP BY h.sensor_id, h.k, h.h)
-SELECT c.sensor_id, c.k, round(CASE WHEN l0.y < h THEN lk + (h - l0.y) / (l1.y - l0.y) ELSE lk END, 6)::DOUBLE AS left_pos, round(CASE WHEN u0.y < h THEN rk - (h - u0.y) / (u1.y - u0.y) ELSE rk END, 6)::DOUBLE AS right_pos
-FROM c JOIN y l0 ON l0.sensor_id = c.sensor_id AND l0.k = lk JOIN y l1 ON l1.sensor_id = c.sensor_id AND l1.k = lk + 1
-  JOIN y u0 ON u0.sensor_id = c.sensor_id AND u0.k = rk JOIN y u1 ON u1.sensor_id = c.sensor_id AND u1.k = rk - 1""",
-    "iterative_peaks": f"""WITH RECURSIVE {_PROMINENCE}, h AS (SELECT sensor_id, list(prominence) AS all_p FROM b GROUP BY sensor_id),
-i AS (SELECT h.sensor_id, all_p, 0 AS rounds, (SELECT (max(y.y) - min(y.y)) * 0.05 FROM y WHERE y.sensor_id = h.sensor_id) AS threshold FROM h
-  UNION ALL SELECT sensor_id, all_p, rounds + 1, threshold * CASE WHEN len(list_filter(all_p, lambda v: v >= threshold)) > 5 THEN 1.5 ELSE 0.7 END FROM i
-  WHERE rounds < 14 AND len(list_filter(all_p, lambda v: v >= threshold)) NOT BETWEEN 1 AND 5),
-t AS (SELECT *, len(list_filter(all_p, lambda v: v >= threshold)) AS peaks FROM i)
-SELECT sensor_id, round(threshold, 6) AS threshold, peaks, rounds FROM t WHERE peaks BETWEEN 1 AND 5""",
+    "half_widths": f"WITH {_HALF} SELECT sensor_id, k, round(left_pos, 6) AS left_pos, round(right_pos, 6) AS right_pos FROM c1",
+    "iterative_peaks": f"WITH RECURSIVE {_PROMINENCE}, {_ADAPTED} SELECT sensor_id, round(threshold, 6) AS threshold, peaks, rounds FROM t",
+    "mode_selection": f"""WITH RECURSIVE {_MODES} SELECT sensor_id, mode_no, idx, round(freq, 6) AS freq, round(amp, 6) AS amp, round(prominence, 6) AS prominence, round(left_hz, 6) AS left_hz,
+  round(right_hz, 6) AS right_hz, round(low, 6) AS low, round(high, 6) AS high FROM modes""",
+    "search_bins": f"WITH RECURSIVE {_MODES} SELECT sensor_id, mode_no, round(low, 6) AS low, round(high, 6) AS high FROM modes",
+    "dynamic_features": f"""WITH RECURSIVE {_TRACK}, u AS (SELECT vec_id, max(v) - min(v) AS ptp, avg(v) AS mean, stddev_pop(v) AS std, sqrt(avg(v * v)) AS rms, count(*) AS n,
+  bool_and(isfinite(v)) AND count(*) < 400000 AND min(v) > -100 AND max(v) < 100 AS ok FROM x GROUP BY vec_id)
+SELECT time, sensor_id, round(any_value(ptp), 6) AS ptp, round(any_value(mean), 6) AS mean, round(any_value(std), 6) AS std, round(any_value(rms), 6) AS rms, NULL::DOUBLE AS noise_level, any_value(n) AS data_count,
+  any_value(ok) AS is_valid, round(max(f) FILTER (mode_no = 1), 6) AS "1st_mode", round(max(f) FILTER (mode_no = 2), 6) AS "2nd_mode", round(max(f) FILTER (mode_no = 3), 6) AS "3rd_mode"
+FROM v1 JOIN u USING (vec_id) GROUP BY vec_id, time, sensor_id""",
+    "freq_trend": f"WITH RECURSIVE {_TRACK} SELECT sensor_id, time, mode_no, round(f, 6) AS freq, round(nullif(ref, 0), 6) AS ref_freq FROM v1 WHERE f > 0",
+    "natural_freqs": """WITH e AS (SELECT vec_id // 16 AS part, vec_id, unnest(embedding)::DOUBLE AS v, unnest(range(len(embedding))) AS i FROM embeddings),
+x AS (SELECT part, v, row_number() OVER (PARTITION BY part ORDER BY vec_id, i) - 1 AS j, count(*) OVER (PARTITION BY part) AS n FROM e),
+a AS (SELECT part, n, k, sqrt(pow(sum(v * cos(2 * pi() * k * j / n)), 2) + pow(sum(v * sin(2 * pi() * k * j / n)), 2)) AS y
+  FROM x, LATERAL (SELECT unnest(range(n // 2 + 1)) AS k) WHERE k * 100.0 / n BETWEEN 0.5 AND 20 AND n >= 1000 GROUP BY part, n, k),
+b AS (SELECT *, lag(y) OVER w AS before, lead(y) OVER w AS after, max(y) OVER (PARTITION BY part) AS top FROM a WINDOW w AS (PARTITION BY part ORDER BY k)),
+p AS (SELECT * FROM b WHERE y > before AND y > after),
+q AS (SELECT p.part, p.n, p.k, p.y, p.top, coalesce(max(o.k) FILTER (o.k < p.k AND o.y > p.y), -1) AS lo, coalesce(min(o.k) FILTER (o.k > p.k AND o.y > p.y), 1000000) AS hi FROM p JOIN a o USING (part) GROUP BY p.part, p.n, p.k, p.y, p.top),
+r AS (SELECT q.part, q.n, q.k, q.y, q.top, q.y - greatest(min(o.y) FILTER (o.k <= q.k), min(o.y) FILTER (o.k >= q.k)) AS prominence FROM q JOIN a o ON o.part = q.part AND o.k > lo AND o.k < hi GROUP BY q.part, q.n, q.k, q.y, q.top),
+t AS (SELECT *, row_number() OVER (PARTITION BY part ORDER BY y DESC, k DESC) AS place FROM r WHERE prominence >= 0.1 * top)
+SELECT d.part, coalesce(string_agg(printf('%.4f', t.k * 100.0::DOUBLE / t.n), ',' ORDER BY t.k), '') AS freqs FROM (SELECT DISTINCT part FROM e) d LEFT JOIN t ON t.part = d.part AND place <= 3 GROUP BY d.part""",
     "noise_full_std": _noise_sql("stddev_pop(v)"),
     "noise_snr": _noise_sql("coalesce(var_pop(v) / nullif(avg(v * v), 0), 0)"),
     "noise_static_std": _noise_sql(
