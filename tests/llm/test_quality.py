@@ -5,7 +5,6 @@ from collections import Counter, defaultdict
 import numpy as np
 import pyarrow as pa
 import pytest
-from pyspark.sql import functions as F
 
 from vibralake.llm import quality
 

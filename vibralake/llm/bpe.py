@@ -12,7 +12,6 @@ encodings are kept between batches up to a bound.
 
 from __future__ import annotations
 
-import hashlib
 import json
 import struct
 from collections.abc import Iterator
@@ -27,7 +26,7 @@ from pyspark.sql import functions as F
 from vibralake.llm.shared import chunks, clean_columns
 
 #: Words and pairs of tokens that a worker keeps, and the length from which a word is not kept.
-KEPT_WORDS, KEPT_PAIRS, LONG_WORD = 600_000, 400_000, 64
+KEPT_WORDS, KEPT_PAIRS, LONG_WORD = 450_000, 300_000, 64
 #: Fixed value: how the vocabulary's text is split before merging.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
@@ -93,7 +92,7 @@ class Vocabulary:
         is walked. At a word's end its tokens are read backwards along the path.
         """
         made: dict[str, bytes] = {}
-        ids, longest, fits = self.ids, self.longest, self.fits
+        find, longest, fits, known = self.ids.get, self.longest, self.fits, self._fits.get
         path = b""
         last, width = [0], [0]  # of the prefix of each length: its last token, and that token's length
         for word, text in sorted((w.encode(), w) for w in words):
@@ -102,11 +101,19 @@ class Vocabulary:
                 shared += 1
             del last[shared + 1 :], width[shared + 1 :]
             for end in range(shared + 1, len(word) + 1):
-                for n in range(min(end, longest), 0, -1):
-                    token = ids.get(word[end - n : end])
-                    if token is not None and (fits(last[end - n], token) if n < end else self.whole(token)):
+                for start in range(max(end - longest, 0), end):
+                    token = find(word[start:end])
+                    if token is None:
+                        continue
+                    if start:
+                        fit = known(last[start] + 1 << 32 | token)
+                        if fit is None:
+                            fit = fits(last[start], token)
+                    else:
+                        fit = self.whole(token)
+                    if fit:
                         last.append(token)
-                        width.append(n)
+                        width.append(end - start)
                         break
                 else:
                     raise ValueError("the vocabulary lacks a byte")
