@@ -5,7 +5,8 @@ Removes every word covered by a window of so many words whose sequence also star
 A document is parsed from left to right into phrases against the indexed blocks of the whole corpus:
 
 * Every window has an anchor, the least k-word hash inside it, so equal windows have equal anchors.
-  A phrase is the stretch of words under a run of windows that share an anchor.
+  A phrase is the stretch of words under a run of windows with equal anchors, cut after as many
+  windows as one anchor can be in, so that a text that repeats itself has few phrases, and equal ones.
 * A block is a shard of the anchors, with the phrases under them as its index. A phrase only ever
   needs the block that its anchor belongs to, so every document is held against every block that
   could match it, and no document is compared with another.
@@ -106,7 +107,7 @@ class Parsed:
         at = np.flatnonzero(doc[:n] == doc[window - 1 :]) if n > 0 else np.zeros(0, np.int64)
         if not len(at):
             self.doc = self.start = self.windows = self.place = np.zeros(0, np.int64)
-            self.anchor = np.zeros(0, np.uint64)
+            self.anchor, self.several = np.zeros(0, np.uint64), np.zeros(0, bool)
             return
         grams = np.arange(len(words) - anchor + 1)
         hashes = self.rolling[0].of(grams, grams + anchor)
@@ -115,14 +116,21 @@ class Parsed:
         for i in range(0, n, 1 << 16):
             least[i : i + (1 << 16)] = wide[i : i + (1 << 16)].argmin(axis=1)
         chosen = at + least[at]
+        value = hashes[chosen]
         fresh = np.ones(len(at), bool)
-        fresh[1:] = (chosen[1:] != chosen[:-1]) | (at[1:] != at[:-1] + 1)
-        heads = np.flatnonzero(fresh)
+        fresh[1:] = (value[1:] != value[:-1]) | (at[1:] != at[:-1] + 1)
+        runs = np.flatnonzero(fresh)
+        place = np.arange(len(at)) - np.repeat(runs, np.diff(np.append(runs, len(at))))
+        heads = np.flatnonzero(place % (window - anchor + 1) == 0)
         self.place = at[heads]
+        moved = np.zeros(len(at), bool)
+        moved[1:] = chosen[1:] != chosen[:-1]
+        moved[heads] = False
+        self.several = np.logical_or.reduceat(moved, heads)  # the anchor is met twice in the phrase, so its own windows may be equal
         self.windows = np.diff(np.append(heads, len(at)))
         self.doc = doc[self.place]
         self.start = self.place - firsts[self.doc]
-        self.anchor = hashes[chosen[heads]]
+        self.anchor = value[heads]
 
     def phrases(self) -> tuple[np.ndarray, np.ndarray]:
         end = self.place + self.windows + (self.window - 1)
@@ -145,7 +153,9 @@ def duplicate_spans(work: DataFrame, window: int = WINDOW, anchor: int = ANCHOR,
 
     def anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in chunks(batches):
-            found, counts = np.unique(Parsed(batch.column(2), window, anchor).anchor, return_counts=True)
+            parsed = Parsed(batch.column(2), window, anchor)
+            found, back = np.unique(parsed.anchor, return_inverse=True)
+            counts = np.bincount(back, weights=1 + parsed.several, minlength=len(found)).astype(np.int64)
             yield pa.RecordBatch.from_arrays([_signed(found), pa.array(counts)], names=["anchor", "n"])
 
     def phrases(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
