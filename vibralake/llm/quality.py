@@ -22,7 +22,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, Row
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vibralake.llm.bloom import mixed
@@ -32,6 +32,8 @@ ORDER, BITS = 5, 12
 #: Quantile of the trusted rows' perplexity, share of trusted rows that calibrate (one in so many),
 #: calibration rows that a language needs for a threshold of its own, symbols of prior.
 QUANTILE, FOLDS, LEAST_ROWS, PRIOR = 0.995, 5, 30, 60
+#: Bytes of text handled at once: a symbol takes some ten times eight bytes.
+CHUNK = 1 << 20
 #: Bounds of what is broadcast: scored n-grams, trusted identifiers.
 SCORED_GRAMS, TRUSTED_ROWS = 3_000_000, 1_000_000
 #: Symbols: code points up to 3071 stand for themselves (digits as 0, white space as a blank), the
@@ -65,7 +67,7 @@ def _collected(batches: Iterator[pa.RecordBatch], counted: bool, limit: int = 1
     """Distinct n-grams of a task's texts (the last column), with counts; given out whenever limit is reached."""
     code, many = np.zeros(0, np.int64), np.zeros(0, np.int64)
     give = lambda: pa.RecordBatch.from_arrays([pa.array(code), pa.array(many)], names=["gram", "n"])
-    for batch in chunks(batches):
+    for batch in chunks(batches, limit=CHUNK):
         if counted:
             fresh, n = np.unique(grams(batch.column(batch.num_columns - 1))[0], return_counts=True)
             both = np.concatenate([code, fresh])
@@ -171,7 +173,7 @@ def perplexities(work: DataFrame, scored: DataFrame, limit: int = SCORED_GRAMS)
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if not made:
                 made.append(Lookup(*shared.value))
-            for batch in chunks(batches):
+            for batch in chunks(batches, limit=CHUNK):
                 code, sizes = grams(batch.column(batch.num_columns - 1))
                 sums = np.concatenate([[0.0], np.cumsum(made[0].of(code), dtype=np.float64)])
                 ends = np.cumsum(sizes)
@@ -181,7 +183,7 @@ def perplexities(work: DataFrame, scored: DataFrame, limit: int = SCORED_GRAMS)
         return work.mapInArrow(run, fields + ", n_symbols bigint, loss double")
 
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in chunks(batches, limit=1 << 20):
+        for batch in chunks(batches, limit=CHUNK):
             code, sizes = grams(batch.column(2))
             row = np.repeat(np.arange(len(sizes)), sizes)
             order = np.lexsort((code, row))
@@ -250,15 +252,12 @@ def classify(
     mean_all = pooled["loss"] / pooled["n"] if pooled["n"] else None
     means = held.groupBy("language").agg((F.sum("loss") / F.sum("n_symbols")).alias("mean"), F.count("*").alias("rows")).filter(F.col("rows") >= LEAST_ROWS)
     shrunk = F.exp((F.col("loss") + PRIOR * F.col("mean")) / (F.col("n_symbols") + PRIOR))
-    # A language's mean and threshold; the pooled ones under a null language.
+    # A language's mean and threshold, and the pooled threshold.
     at = F.percentile_approx("perplexity", F.lit(quantile), F.lit(100_000)).alias("threshold")
     own = held.join(means, "language").withColumn("perplexity", shrunk).groupBy("language").agg(F.first("mean").alias("mean"), at)
     rest = held.withColumn("mean", F.lit(mean_all)).withColumn("perplexity", shrunk).agg(at).first()["threshold"] if mean_all is not None else None
-    rules = {r["language"]: (r["mean"], r["threshold"]) for r in own.collect()}  # one row per language with enough rows
-
-    spark = df.sparkSession
-    table = spark.createDataFrame([Row(language=k, mean=m, threshold=t) for k, (m, t) in rules.items()], "language string, mean double, threshold double")
-    judged = perplexities(keyed(work), scored, scored_grams).join(F.broadcast(table), "language", "left")
+    rules = staged(own, "rules")  # a row a language; joined by broadcast if Spark's own bound allows it
+    judged = perplexities(keyed(work), scored, scored_grams).join(rules, "language", "left")
     judged = judged.withColumns({"mean": F.coalesce("mean", F.lit(mean_all).cast("double")), "threshold": F.coalesce("threshold", F.lit(rest).cast("double"))})
     judged = judged.withColumn("perplexity", F.when(F.col("n_symbols") > 0, F.coalesce(shrunk, F.exp(F.col("loss") / F.col("n_symbols")))))
     return judged.select(

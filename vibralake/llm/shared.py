@@ -3,20 +3,24 @@
 from __future__ import annotations
 
 import atexit
+import gc
 import shutil
 import tempfile
 import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
-import pyarrow.compute
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vibralake.session import ship
 
 #: Bytes of text that a Python worker handles at once; one longer document is handled alone.
-CHUNK_BYTES = 4 << 20
+CHUNK_BYTES = 2 << 20
+#: Spark drops shuffle files, broadcasts and plans that nothing needs any more when the driver collects
+#: garbage, which a driver with few objects seldom does: after so many staged tables we ask for it.
+TIDY_AFTER = 4
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: The white space of the contracts, [\x20\x09-\x0D].
 BLANKS = " \t\n\x0b\x0c\r"
@@ -30,7 +34,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def shared_folder(spark: SparkSession) -> str:
     """The folder that all executors share: spark.checkpoint.dir; our own only where that is unset."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if folder:
         return folder.rstrip("/")
     context = spark.sparkContext
@@ -53,6 +57,9 @@ def staged(df: DataFrame, name: str, partition_by: tuple[str, ...] = ()) -> Data
     context = spark.sparkContext
     context._vibralake_staged = [*getattr(context, "_vibralake_staged", []), path]
     df.write.option("compression", "zstd").partitionBy(*partition_by).parquet(path)
+    if len(context._vibralake_staged) % TIDY_AFTER == 0:
+        gc.collect()
+        spark._jvm.System.gc()
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -82,7 +89,7 @@ def chunks(batches: Iterator[pa.RecordBatch], column: str = "text", limit: int =
     for batch in batches:
         values = batch.column(batch.schema.get_field_index(column))
         start, size = 0, 0
-        lengths = pa.compute.binary_length(values).fill_null(0).to_pylist()
+        lengths = pc.binary_length(values).fill_null(0).to_pylist()
         for i, n in enumerate(lengths):
             if i > start and size + n > limit:
                 yield batch.slice(start, i - start)
