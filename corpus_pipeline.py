@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 from vibralake.llm import bpe, line_dedup, mixing, ngram_join, quality
 from vibralake.llm.shared import staged, table
 
+#: Documents to drop that are broadcast at most, 16 bytes each.
+BROADCAST_ROWS = 1_000_000
 COLUMNS = {"doc_id": "bigint", "text": "string", "lang": "string", "source": "string", "n_chars": "bigint"}
 
 
@@ -45,6 +47,9 @@ def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     docs = _documents(docs)
     found = staged(ngram_join.link_components(docs).select("doc_id", "component_id"), "components")
     gone = found.filter(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("gone"), F.lit(True).alias("out")).distinct()
+    gone = staged(gone, "gone")
+    if gone.count() <= BROADCAST_ROWS:
+        gone = F.broadcast(gone)  # else the texts are shuffled
     left = docs.join(gone, F.col("doc_id").eqNullSafe(F.col("gone")), "left").filter("out is null").select(*COLUMNS)
     repeats = found.groupBy("doc_id").agg(F.count("*").alias("n")).filter("n > 1").limit(1).count()
     return left.dropDuplicates(list(COLUMNS)) if repeats else left  # only a repeated doc_id can repeat a row
