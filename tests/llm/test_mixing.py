@@ -61,3 +61,30 @@ def test_bounds_and_edges(corpus, spark, empty):
     assert all(r["rate"] == 1 and r["domain"] is None for r in out)
     assert {r["doc_id"]: r["n_tokens"] for r in out}[None] == 2
     assert mixing.mix(empty, none).count() == 0 and mixing.mix(docs.limit(0), labels).count() == 0
+
+
+def test_a_small_domain_is_treated_like_a_large_one(spark):
+    posterior = np.eye(3)
+    tokens = [(900_000, 0), (100_000, 1), (20, 2)]  # good, and two poor domains of which one is 2e-5 of the corpus
+    members = spark.createDataFrame([(n, bytearray(posterior[k].tobytes())) for n, k in tokens], "tokens bigint, posterior binary")
+    total = float(sum(n for n, _ in tokens))
+    shares = np.array([n for n, _ in tokens]) / total
+    targets = np.array([shares[0], 0.0, 0.0])
+    gaps, steps, size, reached = mixing.fit_rates(members, 3, targets, total, scale=np.maximum(shares, targets))
+    assert mixing.replayed(posterior, gaps, steps, size, mixing.RIDGE, 0.0).round(2).tolist() == [1.0, 0.0, 0.0]
+    assert np.abs(reached - targets).max() < 0.01 * shares[1]
+
+
+def test_rare_toxic_documents_go_and_shares_are_reported(spark):
+    rng = random.Random(8)
+    text = lambda words, n: " ".join(rng.choice(words) for _ in range(n))
+    clean, vile = [f"c{i}" for i in range(300)], [f"v{i}" for i in range(40)]
+    rows = [(i, text(clean, 4000), "en") for i in range(100)] + [(1000 + i, text(vile, 8), "en") for i in range(3)]  # 6e-5 of the words
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    labels = spark.createDataFrame([(i, 1, 0) for i in range(100)] + [(1000, 0, 1), (1001, 0, 1)], "doc_id bigint, quality int, toxic int")
+    report: dict = {}
+    rates = {r["doc_id"]: r["rate"] for r in mixing.mix(docs, labels, power=1.0, report=report).collect()}
+    assert all((round(v) > 0) == (k < 1000) for k, v in rates.items()), {k: v for k, v in rates.items() if k >= 1000}
+    assert set(report) == {"en/good", "en/toxic"}
+    share, target, reached = report["en/toxic"]
+    assert 0 < share < 1e-3 and target == 0 and reached < 0.1 * share

@@ -7,8 +7,10 @@
 3. Rates r >= least_rate, one for each document, are fitted so that the expected totals under the
    rates match the targets: accelerated projected gradient on
 
-       1/2 sum_k (T_k(r)/N - w_k)^2 + ridge/2 sum_d n_d/N (r_d - 1)^2,  T_k(r) = sum_d r_d n_d p_dk.
+       1/2 sum_k (T_k(r)/N - w_k)^2 / c_k + ridge/2 sum_d n_d/N (r_d - 1)^2,  T_k(r) = sum_d r_d n_d p_dk.
 
+   c_k is the larger of the domain's share and its target, so a domain's rates don't depend on how
+   much of the corpus it is: with target 0, documents that are all its own get ridge/(1 + ridge).
    A document's rate follows from its posterior and the gradients of all steps so far, which are
    a few numbers a step. So a step is one pass over (tokens, posterior) that replays the steps and
    sums the totals; no rates are kept between steps, and a lost executor loses nothing.
@@ -16,6 +18,7 @@
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Iterator
 
 import numpy as np
@@ -29,8 +32,9 @@ from vibralake.llm.substring import word_hashes
 
 #: Buckets of hashed words, additive smoothing, temperature of the posteriors, domains at most.
 BUCKETS, SMOOTHING, TEMPERATURE, MOST_DOMAINS = 1 << 16, 0.1, 4.0, 64
-#: Weight of staying at rate 1, steps at most, and the largest gap to a target share that ends the fit.
-RIDGE, STEPS, TOLERANCE = 1e-4, 60, 2e-4
+#: Weight of staying at rate 1; steps at most (a step takes 1 - sqrt(ridge) of the error or less, so the fit ends long before);
+#: the largest change of a domain's total by a step, as a part of its share or target, that ends the fit.
+RIDGE, STEPS, TOLERANCE = 2e-3, 1000, 2e-6
 #: Labelled identifiers that are broadcast at most; with more, the labelled table is joined by shuffle.
 LABELLED_ROWS = 1_000_000
 _PARTS = np.zeros(256, bool)
@@ -109,29 +113,43 @@ def _sums(domains, rows, counts) -> pa.RecordBatch:
 
 def replayed(posterior: np.ndarray, gaps: list[np.ndarray], steps: list[float], size: float, ridge: float, least: float) -> np.ndarray:
     """Rates after the steps that the gradients in gaps and the momenta in steps describe."""
+    return _replayed(posterior, gaps, steps, size, ridge, least)[0]
+
+
+def _replayed(posterior: np.ndarray, gaps: list[np.ndarray], steps: list[float], size: float, ridge: float, least: float) -> tuple[np.ndarray, np.ndarray]:
+    """Rates after the steps, and how far the last step took them."""
     rate = look = np.full(len(posterior), max(1.0, least))
+    moved = np.zeros(len(posterior))
     for gap, momentum in zip(gaps, steps, strict=True):
         new = np.maximum(look - size * (posterior @ gap + ridge * (look - 1)), least)
+        moved = np.abs(new - look)
         look, rate = new + momentum * (new - rate), new
-    return rate
+    return rate, moved
+
 
+def fit_rates(members: DataFrame, domains: int, targets: np.ndarray, total: float, ridge: float = RIDGE, least: float = 0.0, most_steps: int = STEPS, tolerance: float = TOLERANCE, scale: np.ndarray | None = None):
+    """For members (tokens, posterior as packed doubles), what replayed() needs: gaps, momenta, size of a step; and the fitted shares.
+
+    scale holds the c_k by which residuals are divided (left out: 1); the gaps returned are divided by them.
+    """
+    scale = np.ones(domains) if scale is None else scale
 
-def fit_rates(members: DataFrame, domains: int, targets: np.ndarray, total: float, ridge: float = RIDGE, least: float = 0.0, most_steps: int = STEPS, tolerance: float = TOLERANCE):
-    """For members (tokens, posterior as packed doubles), what replayed() needs: gaps, momenta, size of a step; and the fitted shares."""
+    def totals(gaps: list[np.ndarray], steps: list[float], size: float) -> tuple[np.ndarray, np.ndarray]:
+        """Each domain's share under the rates, and how far the last step took it."""
 
-    def totals(gaps: list[np.ndarray], steps: list[float], size: float) -> np.ndarray:
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            sums = np.zeros(domains)
+            sums = np.zeros((2, domains))
             for batch in batches:
                 if batch.num_rows:
                     p = np.frombuffer(b"".join(batch.column(1).to_pylist()), np.float64).reshape(-1, domains)
-                    sums += (batch.column(0).to_numpy() * replayed(p, gaps, steps, size, ridge, least)) @ p
-            yield pa.RecordBatch.from_arrays([pa.array(range(domains), pa.int32()), pa.array(sums)], names=["k", "v"])
+                    sums += (batch.column(0).to_numpy() * np.stack(_replayed(p, gaps, steps, size, ridge, least))) @ p
+            yield pa.RecordBatch.from_arrays([pa.array(range(2 * domains), pa.int32()), pa.array(sums.ravel())], names=["k", "v"])
 
-        out = np.zeros(domains)
+        out = np.zeros(2 * domains)
         for row in members.select("tokens", "posterior").mapInArrow(run, "k int, v double").groupBy("k").agg(F.sum("v").alias("v")).collect():
             out[row["k"]] = row["v"]
-        return out / max(total, 1.0)
+        shares, moved = out.reshape(2, domains) / max(total, 1.0)
+        return shares, moved
 
     def moments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums = np.zeros((domains, domains))
@@ -144,21 +162,25 @@ def fit_rates(members: DataFrame, domains: int, targets: np.ndarray, total: floa
     curve = np.zeros(domains**2)
     for row in members.select("tokens", "posterior").mapInArrow(moments, "k int, v double").groupBy("k").agg(F.sum("v").alias("v")).collect():
         curve[row["k"]] = row["v"]
-    steepest = float(np.linalg.eigvalsh(curve.reshape(domains, domains) / max(total, 1.0)).max(initial=0.0))
+    steepest = float(np.linalg.eigvalsh(curve.reshape(domains, domains) / max(total, 1.0) / np.sqrt(np.outer(scale, scale))).max(initial=0.0))
     size = 1.0 / (steepest + ridge) if steepest + ridge > 0 else 1.0
     gaps: list[np.ndarray] = []
     steps: list[float] = []
-    before = now = totals(gaps, steps, size)
-    t, momentum = 1.0, 0.0
+    before = now = totals(gaps, steps, size)[0]
+    slow = (ridge * size) ** 0.5
+    t, momentum, most = 1.0, 0.0, (1 - slow) / (1 + slow)  # with this bound the error falls by a fixed part in a step
     for _ in range(most_steps):
         look = now + momentum * (now - before)  # totals are linear in the rates
-        gaps.append(look - targets)
+        gaps.append((look - targets) / scale)
         after = (1 + np.sqrt(1 + 4 * t * t)) / 2
-        momentum, t = (t - 1) / after, after
+        momentum, t = min((t - 1) / after, most), after
         steps.append(momentum)
-        before, now = now, totals(gaps, steps, size)
-        if np.abs(now - targets).max() <= tolerance:
+        before, (now, moved) = now, totals(gaps, steps, size)
+        if (moved / scale).max(initial=0.0) <= tolerance:
             break
+    else:
+        if tolerance:
+            warnings.warn(f"rates still move by {(moved / scale).max():.1e} of a domain after {most_steps} steps", stacklevel=2)
     return gaps, steps, size, now
 
 
@@ -185,13 +207,15 @@ def mix(
     labelled_rows: int = LABELLED_ROWS,
     targets: dict[str, float] | None = None,
     with_text: bool = True,
+    report: dict[str, tuple[float, float, float]] | None = None,
 ) -> DataFrame:
     """One row per row of df: identifier, columns, text (unless with_text is off), n_tokens, domain, posterior, rate.
 
     Domains are language/class, with class toxic, good or poor by the labels. targets gives shares
     of the tokens by domain (left out: 0); without it, the good domains share what the good have, in
     proportion to a power of their expected tokens, and the others get none. domain is the likeliest
-    one and posterior its probability; rate is how many times the document is to be used. Without
+    one and posterior its probability; report is filled with each domain's share, target and the share
+    that the rates reach, all of the tokens beforehand. rate is how many times the document is to be used. Without
     any labelled row of df there are no domains: domain and posterior are null, and rates 1. A null
     text counts as empty and has no tokens: its domain is the likeliest beforehand. Repeated rows
     get equal rates; an empty table gives none; columns that aren't named are left out, as are columns named like the results.
@@ -243,7 +267,12 @@ def mix(
     total = float(expected.sum())
     shares = dict(zip(domains, (expected / max(total, 1.0)).tolist(), strict=True))
     wanted = tempered(shares, power) if targets is None else targets
-    gaps, steps, step, _ = fit_rates(members, size, np.array([wanted.get(k, 0.0) for k in domains]), total, least=least_rate)
+    aims = np.array([wanted.get(k, 0.0) for k in domains])
+    scale = np.maximum(expected / max(total, 1.0), aims)
+    scale[scale <= 0] = 1.0
+    gaps, steps, step, reached = fit_rates(members, size, aims, total, least=least_rate, scale=scale)
+    if report is not None:
+        report.update({k: (shares[k], float(aims[i]), float(reached[i])) for i, k in enumerate(domains)})
 
     def rated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Without text, from the staged posteriors; with it, from the text."""
