@@ -45,7 +45,7 @@ def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     row has one; repeated rows of a document that stays become one row.
     """
     docs = _documents(docs)
-    found = staged(ngram_join.link_components(docs).select("doc_id", "component_id"), "components")
+    found = staged(ngram_join.link_components(docs, links=False).select("doc_id", "component_id"), "components")
     gone = found.filter(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("gone"), F.lit(True).alias("out")).distinct()
     gone = staged(gone, "gone")
     if gone.count() <= BROADCAST_ROWS:

@@ -15,6 +15,10 @@ in the first, each row is multiplied with the most central row of its columns on
 linked rows become components; in the second, columns are cut into blocks, and only entries of
 different components are multiplied. Pairs that pass the bounds get their overlap counted exactly
 from the full rows. No pair of different components that could reach the threshold is left out.
+
+So components are exact, but pairs inside of one aren't all multiplied. Links, where they are asked
+for, are counted afterwards: a component's rows are dealt into blocks of bounded size, and each
+block is multiplied with itself and the others of its component, over the full rows.
 """
 
 from __future__ import annotations
@@ -34,6 +38,8 @@ from vibralake.llm.substring import Rolling, word_hashes
 WORDS, PERCENT = 5, 80
 #: Counters of the sketch that orders columns (fixed size, 4 MB), bytes of broadcast filters, entries in a block.
 SKETCH, SKETCH_BLOCKS, FILTER_BYTES, BLOCK = 1 << 20, 128, 32 << 20, 4096
+#: Rows and shingles of a block whose links are counted, on average.
+BLOCK_ROWS, BLOCK_SHINGLES = 1024, 1 << 20
 #: Products taken at once in a task.
 PRODUCT = 1 << 19
 
@@ -190,16 +196,115 @@ def _blocks(index: DataFrame, percent: int) -> DataFrame:
     return dealt.mapInArrow(multiplied, "a1 bigint, a2 bigint, b1 bigint, b2 bigint").distinct()
 
 
+class Block:
+    """Rows of a component (node, copies, shingles), gathered until it is multiplied with others."""
+
+    def __init__(self) -> None:
+        self.node: list[tuple[int, int]] = []
+        self.weight: list[int] = []
+        self.codes: list[np.ndarray] = []
+        self.made = False
+
+    def add(self, node: tuple[int, int], copies: int, codes: np.ndarray) -> None:
+        self.node.append(node)
+        self.weight.append(copies)
+        self.codes.append(codes)
+
+    def finish(self) -> None:
+        self.size = np.array([len(c) for c in self.codes], np.int64)
+        every = np.concatenate(self.codes)
+        order = np.argsort(every, kind="stable")
+        self.code, self.row = every[order], np.repeat(np.arange(len(self.size)), self.size)[order]
+        self.copies = np.array(self.weight, np.int64)
+        self.links = np.zeros(len(self.size), np.int64)
+        self.made = True
+
+    def linked(self, codes: np.ndarray, percent: int) -> np.ndarray:
+        """Which rows are linked with a row of these shingles."""
+        low, high = np.searchsorted(self.code, codes), np.searchsorted(self.code, codes, "right")
+        n = high - low
+        at = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(low, n)
+        overlap = np.bincount(self.row[at], minlength=len(self.size))
+        return (overlap > 0) & (100 * overlap >= percent * (self.size + len(codes) - overlap))
+
+
+def _links(member: DataFrame, work: DataFrame, words: int, percent: int) -> DataFrame:
+    """For nodes (n1, n2, r1, r2, copies, n, key_a, key_b) of components with several, how many rows of other nodes each is linked with: n1, n2, more."""
+    parts = F.ceil(F.greatest(F.count("*") / BLOCK_ROWS, F.sum("n") / BLOCK_SHINGLES)).cast("int")
+    several = member.groupBy("r1", "r2").agg(F.count("*").alias("m"), parts.alias("parts")).filter("m > 1").drop("m")
+    wanted = staged(member.join(several, ["r1", "r2"]).select("key_a", "key_b", "r1", "r2", "parts", "n1", "n2", "copies"), "several")
+    texts = work.select("key_a", "key_b", "text").join(wanted.select("key_a", "key_b"), ["key_a", "key_b"], "left_semi").dropDuplicates(["key_a", "key_b"])
+
+    def full(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in chunks(batches):
+            rows = Rows(batch.column(batch.num_columns - 1), words)
+            made = [rows.code[f : f + n].tobytes() for f, n in zip(rows.first.tolist(), rows.size.tolist(), strict=True)]
+            yield _batch([*batch.columns[:-1], pa.array(made, pa.binary())], "r1 r2 parts n1 n2 copies codes")
+
+    sets = wanted.join(texts, ["key_a", "key_b"]).select("r1", "r2", "parts", "n1", "n2", "copies", "text")
+    sets = staged(sets.mapInArrow(full, "r1 bigint, r2 bigint, parts int, n1 bigint, n2 bigint, copies bigint, codes binary"), "sets")
+    order = ["r1", "r2", "held", "flow"]
+    deal = F.pmod(F.xxhash64("n1", "n2"), "parts").cast("int")
+    rest = ["n1", "n2", "copies", "codes"]
+    # the rows of a block come first (role 0), then those of a block after it; a block meets itself where held = flow
+    held = sets.select("r1", "r2", "parts", *rest, deal.alias("held")).withColumn("flow", F.explode(F.sequence(F.col("held"), F.col("parts") - 1)))
+    flow = sets.select("r1", "r2", *rest, deal.alias("flow")).filter("flow > 0").withColumn("held", F.explode(F.sequence(F.lit(0), F.col("flow") - 1)))
+    dealt = held.select(*order, F.lit(0).alias("role"), *rest).unionByName(flow.select(*order, F.lit(1).alias("role"), *rest))
+
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, block = None, Block()
+        out: list[tuple[int, int, int]] = []
+
+        def close() -> None:
+            if not block.node:
+                return
+            if at[2] == at[3]:
+                block.finish()
+                for i, codes in enumerate(block.codes):
+                    hit = block.linked(codes, percent)
+                    hit[i] = False
+                    block.links[i] = block.copies[hit].sum()
+            if block.made:
+                out.extend((*node, n) for node, n in zip(block.node, block.links.tolist(), strict=True) if n)
+
+        def rows() -> pa.RecordBatch:
+            made = _batch([pa.array([x[i] for x in out], pa.int64()) for i in range(3)], "n1 n2 more")
+            out.clear()
+            return made
+
+        for batch in batches:
+            for r1, r2, held, flow, role, n1, n2, copies, raw in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if (r1, r2, held, flow) != at:
+                    close()
+                    at, block = (r1, r2, held, flow), Block()
+                codes = np.frombuffer(raw, np.uint64)
+                if role == 0:
+                    block.add((n1, n2), copies, codes)
+                elif block.node:
+                    if not block.made:
+                        block.finish()
+                    hit = block.linked(codes, percent)
+                    block.links[hit] += copies
+                    out.append((n1, n2, int(block.copies[hit].sum())))
+            yield rows()
+        close()
+        yield rows()
+
+    dealt = dealt.repartition(*order).sortWithinPartitions(*order, "role")
+    return dealt.mapInArrow(counted, "n1 bigint, n2 bigint, more bigint").groupBy("n1", "n2").agg(F.sum("more").alias("more"))
+
+
 def link_components(
-    df: DataFrame, identifier: str = "doc_id", text: str = "text", words: int = WORDS, percent: int = PERCENT, filter_bytes: int = FILTER_BYTES
+    df: DataFrame, identifier: str = "doc_id", text: str = "text", words: int = WORDS, percent: int = PERCENT, filter_bytes: int = FILTER_BYTES, links: bool = True
 ) -> DataFrame:
-    """One row per row of df: identifier, n_shingles, component_id, n_links.
+    """One row per row of df: identifier, n_shingles, component_id, and n_links unless links is off.
 
     A text's set: its distinct shingles of so many words, A-Z in lower case; with fewer words, the
     whole sequence as one; a null or empty text has none and is linked with nothing. Rows are linked
     if 100 * intersection >= percent * union. component_id is the smallest identifier reachable by
     links, the row's own included; null identifiers count only where there is no other. n_links counts
-    the other rows with an equal set, and the links found to other sets (a spanning part of them).
+    the other rows that a row is linked with, those with an equal set included; within a large group
+    of near copies that takes all pairs, so leave it out where it isn't needed.
     Repeated rows have equal sets; an empty table gives none; further columns are left out.
     """
     spark = df.sparkSession
@@ -263,7 +368,7 @@ def link_components(
             yield batch.filter(pa.array(known.value.has(batch.column(0).to_numpy().view(np.uint64))))
 
     index = staged((every if known is None else every.mapInArrow(shared, entry)).distinct(), "entries")
-    nodes = staged(docs.filter("size > 0").groupBy("n1", "n2").agg(F.min("doc").alias("least"), F.count("*").alias("copies"), F.min(F.struct("key_a", "key_b")).alias("key")).select("n1", "n2", "least", "copies", "key.*"), "nodes")
+    nodes = staged(docs.filter("size > 0").groupBy("n1", "n2").agg(F.min("doc").alias("least"), F.count("*").alias("copies"), F.first("size").alias("n"), F.min(F.struct("key_a", "key_b")).alias("key")).select("n1", "n2", "least", "copies", "n", "key.*"), "nodes")
 
     top = index.groupBy("code").agg(F.min(F.struct("place", "size", "n1", "n2")).alias("top"), F.count("*").alias("m")).filter("m > 1").select("code", "top")
     star = (
@@ -283,21 +388,23 @@ def link_components(
         "code", "n1", "n2", "size", "place", F.coalesce("root1", "n1").alias("root1"), F.when(F.col("root1").isNull(), F.col("n2")).otherwise(F.col("root2")).alias("root2")
     )
     second = _linked(staged(_blocks(staged(coloured, "coloured"), percent), "pairs"), nodes, work, words, percent, filter_bytes)
-    links = first.unionByName(second)
-    final = components(edge(links)).select(F.col("node.a1").alias("n1"), F.col("node.a2").alias("n2"), F.col("root.a1").alias("r1"), F.col("root.a2").alias("r2"))
-    degree = links.select(F.explode(F.array(F.struct(F.col("a1").alias("n1"), F.col("a2").alias("n2")), F.struct(F.col("b1").alias("n1"), F.col("b2").alias("n2")))).alias("x")).select("x.*").groupBy("n1", "n2").agg(F.count("*").alias("more"))
-    member = nodes.join(final, ["n1", "n2"], "left").join(degree, ["n1", "n2"], "left").withColumns({"r1": F.coalesce("r1", "n1"), "r2": F.coalesce("r2", "n2")})
+    final = components(edge(first.unionByName(second))).select(F.col("node.a1").alias("n1"), F.col("node.a2").alias("n2"), F.col("root.a1").alias("r1"), F.col("root.a2").alias("r2"))
+    member = nodes.join(final, ["n1", "n2"], "left").withColumns({"r1": F.coalesce("r1", "n1"), "r2": F.coalesce("r2", "n2")})
     member = staged(member, "members")
     least = member.groupBy("r1", "r2").agg(F.min("least").alias("component"))
-    member = member.join(least, ["r1", "r2"]).select("n1", "n2", "component", (F.col("copies") - 1 + F.coalesce("more", F.lit(0))).alias("n_links"))
-    full = docs.filter("size > 0").join(member, ["n1", "n2"]).select("doc", "size", "component", "n_links")
-    bare = docs.filter("size = 0").select("doc", "size", F.col("doc").alias("component"), F.lit(0).cast("bigint").alias("n_links"))
-    return full.unionByName(bare).select(F.col("doc").alias(identifier), F.col("size").alias("n_shingles"), F.col("component").alias("component_id"), "n_links")
+    counts = []
+    made = member.join(least, ["r1", "r2"]).select("n1", "n2", "component", "copies")
+    if links:
+        made = made.join(_links(member, work, words, percent), ["n1", "n2"], "left").withColumn("n_links", F.col("copies") - 1 + F.coalesce("more", F.lit(0)))
+        counts = ["n_links"]
+    full = docs.filter("size > 0").join(made, ["n1", "n2"]).select("doc", "size", "component", *counts)
+    bare = docs.filter("size = 0").select("doc", "size", F.col("doc").alias("component"), *[F.lit(0).cast("bigint").alias(c) for c in counts])
+    return full.unionByName(bare).select(F.col("doc").alias(identifier), F.col("size").alias("n_shingles"), F.col("component").alias("component_id"), *counts)
 
 
 def digest(docs: DataFrame) -> DataFrame:
     """The contract's columns for a table of documents."""
-    return link_components(clean_columns(docs, doc_id="bigint", text="string")).select("doc_id", "n_shingles", "component_id")
+    return link_components(clean_columns(docs, doc_id="bigint", text="string"), links=False)
 
 
 def sql(documents: str = "documents") -> str:
