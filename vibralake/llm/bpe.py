@@ -13,9 +13,12 @@ encodings are kept between batches up to a bound.
 from __future__ import annotations
 
 import json
+import re
 import struct
+import sys
+import unicodedata
 from collections.abc import Iterator
-from functools import lru_cache
+from functools import cache, lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -27,8 +30,63 @@ from vibralake.llm.shared import chunks, clean_columns
 
 #: Words and pairs of tokens that a worker keeps, and the length from which a word is not kept.
 KEPT_WORDS, KEPT_PAIRS, LONG_WORD = 450_000, 300_000, 64
-#: Fixed value: how the vocabulary's text is split before merging.
-PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+#: How the file's ByteLevel splitter cuts text before merging, with the classes of Unicode
+#: 16.0, the version of the library's splitter: the letters and numbers that Unicode 15.1 doesn't have,
+#: and the white space. Versions of the classes differ in what lies from U+0500 on.
+LETTERS_16 = (
+    "1c89-1c8a a7cb-a7cd a7da-a7dc 105c0-105f3 10d4a-10d65 10d6f-10d85 10ec2-10ec4 11380-11389 1138b 1138e 11390-113b5 113b7 113d1 113d3 "
+    "11bc0-11be0 13460-143fa 16100-1611d 16d40-16d6c 18cff 1e5d0-1e5ed 1e5f0"
+)
+NUMBERS_16 = "10d40-10d49 116d0-116e3 11bf0-11bf9 16130-16139 16d70-16d79 1ccf0-1ccf9 1e5f1-1e5fa"
+SPACE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+PATTERN = "'s|'t|'re|'ve|'m|'ll|'d| ?[{L}]+| ?[{N}]+| ?[^{S}{L}{N}]+|[{S}]+(?![^{S}])|[{S}]+"
+_FAST = regex.compile(PATTERN.format(L=r"\p{L}", N=r"\p{N}", S=SPACE))
+_FAR = re.compile("[\u0500-\U0010ffff]")
+
+
+def _ranges(points: set[int]) -> str:
+    """A character class, without its brackets."""
+    runs: list[list[int]] = []
+    for c in sorted(points):
+        if runs and runs[-1][1] == c - 1:
+            runs[-1][1] = c
+        else:
+            runs.append([c, c])
+    return "".join(f"\\U{a:08x}-\\U{b:08x}" for a, b in runs)
+
+
+@cache
+def _exact() -> tuple[re.Pattern, re.Pattern]:
+    """The splitter with its classes spelled out, and what the fast splitter (another Unicode version) classes otherwise."""
+    every = [chr(c) for c in range(sys.maxunicode + 1) if not 0xD800 <= c < 0xE000]
+    wrong: set[int] = set()
+    classes = {}
+    for kind, fixed in (("L", LETTERS_16), ("N", NUMBERS_16)):
+        bounds = [part.partition("-") for part in fixed.split()]
+        own = {ord(c) for c in every if unicodedata.category(c)[0] == kind} | {c for a, _, b in bounds for c in range(int(a, 16), int(b or a, 16) + 1)}
+        wrong |= own ^ set(map(ord, regex.findall(rf"\p{{{kind}}}", "".join(every))))
+        classes[kind] = _ranges(own)
+    return re.compile(PATTERN.format(S=SPACE, **classes)), re.compile(f"[{_ranges(wrong)}]" if wrong else r"(?!)")
+
+
+def split_words(text: str) -> list[str]:
+    """The words that a text without added tokens is merged by."""
+    if _FAR.search(text):
+        exact, differs = _exact()
+        if differs.search(text):
+            return exact.findall(text)
+    return _FAST.findall(text)
+
+
+def _added_pattern(tokens: list[dict]) -> regex.Pattern | None:
+    """Matches of added tokens, longest first of those that begin at a place, with the flags of the file."""
+    made = []
+    for token in sorted(tokens, key=lambda t: len(t["content"]), reverse=True):
+        body = regex.escape(token["content"])
+        if token.get("single_word"):
+            body = rf"(?<!\w){body}(?!\w)"
+        made.append((r"\s*" if token.get("lstrip") else "") + body + (r"\s*" if token.get("rstrip") else ""))
+    return regex.compile("(" + "|".join(made) + ")") if made else None
 
 
 def default_vocabulary() -> str:
@@ -50,6 +108,14 @@ class Vocabulary:
 
     def __init__(self, content: str) -> None:
         file = json.loads(content)
+        wanted = {"model.type": "BPE", "pre_tokenizer.type": "ByteLevel", "pre_tokenizer.use_regex": True, "pre_tokenizer.add_prefix_space": False, "decoder.type": "ByteLevel"}
+        off = ("normalizer", "model.dropout", "model.unk_token", "model.continuing_subword_prefix", "model.end_of_word_suffix", "model.byte_fallback", "model.ignore_merges")
+        for name, value in [*wanted.items(), *((n, None) for n in off)]:
+            at = file
+            for part in name.split("."):
+                at = (at or {}).get(part)
+            if (at or None) != (value or None):
+                raise ValueError(f"a tokenizer with {name} = {at!r} is not supported")
         letters = _byte_letters()
         raw = lambda token: bytes(letters[c] for c in token)
         self.ids = {raw(t): i for t, i in file["model"]["vocab"].items()}
@@ -57,8 +123,7 @@ class Vocabulary:
         self.added = {t["content"]: t["id"] for t in file["added_tokens"]}
         self.bytes_of = {i: t for t, i in self.ids.items()} | {i: t.encode() for t, i in self.added.items()}
         self.longest = max(map(len, self.ids))
-        self.words = regex.compile(PATTERN)
-        self.split_added = regex.compile("(" + "|".join(map(regex.escape, sorted(self.added, key=len, reverse=True))) + ")") if self.added else None
+        self.split_added = _added_pattern(file["added_tokens"])
         self.tokens = [self.bytes_of.get(i, b"") for i in range(max(self.bytes_of) + 1)]
         self._fits: dict[int, bool] = {}
         self._young: dict[str, bytes] = {}
@@ -137,8 +202,8 @@ class Vocabulary:
         split: list[list[str]] = []
         for text in texts:
             words: list[str] = []
-            for piece in self.split_added.split(text) if self.split_added else [text]:
-                words.extend([piece] if piece in self.added else self.words.findall(piece))
+            for i, piece in enumerate(self.split_added.split(text) if self.split_added else [text]):
+                words.extend([piece if piece in self.added else piece.strip()] if i % 2 else split_words(piece))
             split.append(words)
         known: dict[str, bytes] = {t: struct.pack("<I", i) for t, i in self.added.items()}
         fresh = []
@@ -172,8 +237,10 @@ def encode_documents(df: DataFrame, text: str = "text", vocabulary: str | None =
     """The columns given (but those named like the results or the text), `ids` (binary, little-endian 32-bit) and `decoded` of every whole text.
 
     vocabulary is the path of a tokenizer file on the driver; its content, a few MB whatever the
-    input, goes to the workers once. A null text counts as empty and has no ids; strings of added
-    tokens are encoded as these; repeated rows give equal results; an empty table gives none.
+    input, goes to the workers once; a file whose settings are not those of a plain byte-level model
+    is refused. A null text counts as empty and has no ids; strings of added tokens are encoded as
+    these, by their flags; a text of any length is encoded whole, and a long one alone; repeated rows
+    give equal results; an empty table gives none.
     """
     with open(vocabulary or default_vocabulary(), encoding="utf-8") as file:
         content = df.sparkSession.sparkContext.broadcast(file.read())
