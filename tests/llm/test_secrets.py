@@ -1,5 +1,7 @@
 import hashlib
+import random
 import re
+import time
 
 from vibralake.llm import secrets
 
@@ -60,3 +62,29 @@ def test_keeps_other_columns_and_empty_tables(docs, empty):
 def test_no_python_on_the_path(docs):
     plan = secrets.digest(docs)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_blocks_of_long_candidates(spark):
+    """Hot and cold stretches that end anywhere in the blocks of windows, against the definition."""
+    rng = random.Random(4)
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"
+    stretch = lambda: "".join(rng.choice(letters) for _ in range(rng.randrange(5, 90))) + rng.choice("abc") * rng.randrange(1, 70)
+    rows = [" ".join("".join(stretch() for _ in range(rng.randrange(1, 25))) for _ in range(4)) for _ in range(12)]
+    rows += ["x" + "".join(rng.choice("0123456789abcdef") for _ in range(n)) for n in (23, 24, 25, 255, 256, 257, 278, 279, 280, 281, 2000)]
+    out = secrets.digest(spark.createDataFrame(list(enumerate(rows)), "doc_id bigint, text string")).collect()
+    assert sorted(map(tuple, out)) == sorted((i, *brute(t)) for i, t in enumerate(rows))
+
+
+def test_very_long_texts_take_time_in_proportion(spark):
+    def run(n):
+        text = "é token=abcdef " * n
+        start = time.perf_counter()
+        out = secrets.digest(spark.createDataFrame([(1, text)], "doc_id bigint, text string")).first()
+        assert out["n_assign"] == n
+        if n < 100_000:
+            assert tuple(out) == (1, *brute(text))
+        return time.perf_counter() - start
+
+    run(100)
+    one, ten = run(80_000), run(800_000)  # 1 MB and 10 MB
+    assert ten < 20 * one + 10

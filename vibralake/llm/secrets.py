@@ -8,6 +8,9 @@ harmless candidates. Base spans are never suppressed.
 
 The counts are one string with a character for each letter of the class, so a step costs two
 `overlay` calls; c*log2(c) comes from a table of integers, so sums are exact and free of drift.
+
+Nothing is quadratic in a text's length or in its matches: positions are prefix sums, taken by
+doubling over whole arrays, and a candidate is cut into blocks of windows, whose counts start anew.
 """
 
 from __future__ import annotations
@@ -40,6 +43,8 @@ ALLOW = (
     r"|[dD][uU][mM][mM][yY]|[xX]{6}|0123456789|[aA][bB][cC][dD][eE][fF][gG][hH]"
 )
 SCALE = 1_000_000
+#: Windows of a block, and the character that stands for the count 0 (a count is one ASCII character).
+BLOCK, FIRST = 256, 33
 
 
 def weight(count: int) -> int:
@@ -57,6 +62,13 @@ def _let(value: Column, use) -> Column:
     return F.element_at(F.transform(F.array(value), use), 1)
 
 
+def running_sums(values: Column) -> Column:
+    """Sums of values up to and including each place, by doubling: as many passes as the length has bits."""
+    passes = F.ceil(F.log2(F.greatest(F.size(values), F.lit(1)))).cast("int")
+    step = lambda sums, k: F.transform(sums, lambda x, i: x + F.coalesce(F.get(sums, i - F.call_function("shiftleft", F.lit(1), k)), F.lit(0)))
+    return F.when(passes < 1, values).otherwise(F.aggregate(F.sequence(F.lit(0), F.greatest(passes, F.lit(1)) - 1), values, step))
+
+
 def located(text: Column, found: Column, pattern: str) -> Column:
     """Positions of found = all matches of pattern in text: array of (start, end, match), in code points.
 
@@ -65,45 +77,30 @@ def located(text: Column, found: Column, pattern: str) -> Column:
     """
     gaps = F.regexp_extract_all(text, F.lit(rf"(?s)\G(.*?)(?:{pattern})"), F.lit(1))
     empty = F.array().cast("array<struct<start:int,end:int,hit:string>>")
-    start = F.struct(F.lit(0).alias("at"), empty.alias("out"))
-
-    def step(state: Column, pair: Column) -> Column:
-        begin = state["at"] + F.length(pair["gap"])
-        end = begin + F.length(pair["hit"])
-        span = F.struct(begin.alias("start"), end.alias("end"), pair["hit"].alias("hit"))
-        return F.struct(end.alias("at"), F.array_append(state["out"], span).alias("out"))
-
-    pairs = F.zip_with(gaps, found, lambda g, h: F.struct(g.alias("gap"), h.alias("hit")))
-    return F.when(F.size(found) > 0, F.aggregate(pairs, start, step, lambda s: s["out"])).otherwise(empty)
+    ends = running_sums(F.zip_with(gaps, found, lambda g, h: F.length(g) + F.length(h)))
+    span = lambda end, hit: F.struct((end - F.length(hit)).alias("start"), end.alias("end"), hit.alias("hit"))
+    return F.when(F.size(found) > 0, F.zip_with(ends, found, span)).otherwise(empty)
 
 
-def high_entropy(hit: Column, alphabet: str, fold: bool, bits: float, window: int = WINDOW) -> Column:
-    """Merged high-entropy windows of one candidate: array of (start, end) inside it."""
-    codes = F.transform(
-        F.split(F.lower(hit) if fold else hit, ""), lambda c: F.instr(F.lit(alphabet), c)
-    )
+def _block_spans(block: Column, windows: Column, alphabet: str, fold: bool, bits: float, window: int) -> Column:
+    """Merged high-entropy windows of a block: array of (start, end) inside it. The block holds the windows' characters."""
+    codes = F.transform(F.split(F.lower(block) if fold else block, ""), lambda c: F.instr(F.lit(alphabet), c))
     table = F.array(*[F.lit(weight(c)) for c in range(window + 2)])
     most = bound(window, bits)
     span = "array<struct<start:int,end:int>>"
-    count_of = lambda counts, code: F.ascii(F.substr(counts, code, F.lit(1))) - 65
-    put = lambda counts, code, n: F.overlay(counts, F.char(n + 65), code, F.lit(1))
+    count_of = lambda counts, code: F.ascii(F.substr(counts, code, F.lit(1))) - FIRST
+    put = lambda counts, code, n: F.overlay(counts, F.char(n + FIRST), code, F.lit(1))
     g = lambda n: F.element_at(table, n + 1)
 
-    def entered(state: Column, code: Column) -> Column:
-        return _let(
-            count_of(state["counts"], code),
-            lambda n: F.struct(put(state["counts"], code, n + 1).alias("counts"), (state["sum"] + g(n + 1) - g(n)).alias("sum")),
-        )
-
-    def left(state: Column, code: Column) -> Column:
+    def changed(state: Column, code: Column, by: int) -> Column:
         return _let(
             count_of(state["counts"], code),
-            lambda n: F.struct(put(state["counts"], code, n - 1).alias("counts"), (state["sum"] + g(n - 1) - g(n)).alias("sum")),
+            lambda n: F.struct(put(state["counts"], code, n + by).alias("counts"), (state["sum"] + g(n + by) - g(n)).alias("sum")),
         )
 
     def step(state: Column, i: Column) -> Column:
-        come = entered(state["window"], F.element_at(codes_of(state), i + 1))
-        gone = _let(come, lambda w: F.when(i >= window, left(w, F.element_at(codes_of(state), i + 1 - window))).otherwise(w))
+        come = changed(state["window"], F.element_at(state["codes"], i + 1), 1)
+        gone = _let(come, lambda w: F.when(i >= window, changed(w, F.element_at(state["codes"], i + 1 - window), -1)).otherwise(w))
 
         def moved(w: Column) -> Column:
             begin, end = i - (window - 1), i + 1
@@ -124,11 +121,8 @@ def high_entropy(hit: Column, alphabet: str, fold: bool, bits: float, window: in
 
         return _let(gone, moved)
 
-    def codes_of(state: Column) -> Column:
-        return state["codes"]
-
     zero = F.struct(
-        F.struct(F.lit("A" * len(alphabet)).alias("counts"), F.lit(0).alias("sum")).alias("window"),
+        F.struct(F.lit(chr(FIRST) * len(alphabet)).alias("counts"), F.lit(0).alias("sum")).alias("window"),
         codes.alias("codes"),
         F.lit(0).alias("start"),
         F.lit(0).alias("end"),
@@ -137,7 +131,31 @@ def high_entropy(hit: Column, alphabet: str, fold: bool, bits: float, window: in
     finish = lambda s: F.when(
         s["end"] > 0, F.array_append(s["out"], F.struct(s["start"].alias("start"), s["end"].alias("end")))
     ).otherwise(s["out"])
-    return F.aggregate(F.sequence(F.lit(0), F.length(hit) - 1), zero, step, finish)
+    return F.aggregate(F.sequence(F.lit(0), windows + (window - 2)), zero, step, finish)
+
+
+def high_entropy(hit: Column, alphabet: str, fold: bool, bits: float, window: int = WINDOW) -> Column:
+    """Merged high-entropy windows of one candidate of ASCII letters: array of (start, end) inside it.
+
+    Spans of neighbouring blocks merge where they overlap, like those inside of one.
+    """
+    if not 1 < window < 128 - FIRST:
+        raise ValueError(f"a window has 2 to {127 - FIRST} characters")
+    cut = rf"(?s)(.{{1,{BLOCK}}})(?=(.{{0,{window - 1}}}))"
+    blocks = F.zip_with(F.regexp_extract_all(hit, F.lit(cut), F.lit(1)), F.regexp_extract_all(hit, F.lit(cut), F.lit(2)), lambda own, more: F.struct(own.alias("own"), more.alias("more")))
+
+    def inside(block: Column, i: Column) -> Column:
+        windows = F.length(block["own"]) + F.length(block["more"]) - (window - 1)
+        spans = _block_spans(F.concat(block["own"], block["more"]), windows, alphabet, fold, bits, window)
+        made = F.transform(spans, lambda s: F.struct((s["start"] + i * BLOCK).alias("start"), (s["end"] + i * BLOCK).alias("end")))
+        return F.when(windows > 0, made).otherwise(F.array().cast("array<struct<start:int,end:int>>"))
+
+    def merged(spans: Column) -> Column:
+        first = F.filter(spans, lambda s, i: F.coalesce(s["start"] >= F.get(spans, i - 1)["end"], F.lit(True)))
+        last = F.filter(spans, lambda s, i: F.coalesce(F.get(spans, i + 1)["start"] >= s["end"], F.lit(True)))
+        return F.zip_with(first, last, lambda a, b: F.struct(a["start"].alias("start"), b["end"].alias("end")))
+
+    return _let(F.flatten(F.transform(blocks, inside)), merged)
 
 
 def scan_secrets(df: DataFrame, text: str = "text", window: int = WINDOW) -> DataFrame:
@@ -145,7 +163,8 @@ def scan_secrets(df: DataFrame, text: str = "text", window: int = WINDOW) -> Dat
 
     The text column is read as a string; other columns are kept as they are, except that columns
     named like the results are replaced. Null or empty texts have empty arrays; repeated rows give
-    equal results; an empty table gives an empty result. Each row is handled alone, without a shuffle.
+    equal results; an empty table gives an empty result. Each row is handled alone, without a shuffle,
+    and a very long text takes time in proportion to its length and (but for a logarithm) its matches.
     """
     patterns = {"assign": ASSIGN, "access": ACCESS, "hex": HEX}
     patterns |= {k: f"{c[0]}{{{window},}}" for k, c in CLASSES.items()}
