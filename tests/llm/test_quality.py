@@ -56,8 +56,8 @@ def test_perplexities_equal_the_definition(spark, corpus, limit):
     wanted = work.select("text").mapInArrow(lambda b: quality._collected(b, False), "gram bigint, n bigint")
     found = {r["key_a"]: r for r in quality.perplexities(work, quality.score(wanted, table), limit).collect()}
     for i, t in enumerate(asked):
-        assert found[i]["n_symbols"] == len(t)
-        assert math.isclose(found[i]["loss"], -sum(math.log(model.p(k)) for k in keys(t)), rel_tol=1e-5, abs_tol=1e-6)
+        assert found[i]["n_symbols"] == len(t.encode())
+        assert math.isclose(found[i]["loss"] / quality.UNIT, -sum(math.log(model.p(k)) for k in keys(t)), rel_tol=1e-5, abs_tol=1e-6)
 
 
 def test_probabilities_sum_to_one(corpus):
@@ -91,5 +91,56 @@ def test_no_labels_and_no_rows(spark, docs, empty):
 
 def test_lookup_finds_all_keys():
     keys_ = np.unique(np.random.default_rng(1).integers(0, 1 << 60, 5000))
-    table = quality.Lookup(keys_, np.arange(len(keys_), dtype=np.float32))
+    table = quality.Lookup(keys_, np.arange(len(keys_), dtype=np.int32))
     assert (table.of(keys_[::-1].copy()) == np.arange(len(keys_))[::-1]).all()
+
+
+def test_equal_results_over_partitionings_and_both_ways(spark, corpus):
+    good, bad = corpus
+    rows = [(i, t, ["en", "de", "fr"][i % 3]) for i, t in enumerate(good + bad)]
+    labels = spark.createDataFrame([(i, 1, 0) for i in range(250)], "doc_id bigint, quality int, toxic int")
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    results = []
+    for parts, bound in ((1, 10**6), (3, 10**6), (7, 0)):
+        out = quality.classify(docs.repartition(parts), labels.repartition(parts), scored_grams=bound)
+        results.append(sorted(map(tuple, out.select("doc_id", "n_symbols", "perplexity", "threshold", "kept").collect())))
+    assert results[0] == results[1] == results[2]
+
+
+def test_a_row_at_its_threshold_is_kept_and_one_above_goes(spark):
+    """Calibration rows that are all alike: each is at the threshold itself."""
+    docs = spark.createDataFrame([(i, "the same words again and again", "en") for i in range(400)] + [(500, "zq" * 300, "en")], "doc_id bigint, text string, lang string")
+    labels = spark.createDataFrame([(i, 1, 0) for i in range(400)], "doc_id bigint, quality int, toxic int")
+    out = {r["doc_id"]: r for r in quality.classify(docs, labels).collect()}
+    assert all(out[i]["kept"] and math.isclose(out[i]["perplexity"], out[i]["threshold"], rel_tol=1e-4) for i in range(400)) and not out[500]["kept"]
+
+
+def test_scripts_do_not_share_symbols_and_rare_languages(spark, corpus):
+    """Han, Hangul and Thai texts of few trusted rows are kept, and noise of their own script goes; a language without trusted rows is kept."""
+    rng = random.Random(9)
+    words = {"zh": ["的是在不了", "有和人这中", "大为上个国"], "ko": ["하고있는", "그리고나는", "사람들이"], "th": ["ที่เป็น", "และการ", "ของเรา"]}
+    rows, labels = [], []
+    for k, (lang, some) in enumerate(words.items()):
+        for i in range(60):
+            rows.append((k * 1000 + i, "".join(rng.choice(some) for _ in range(40)), lang))
+            if i < 40:
+                labels.append((k * 1000 + i, 1, 0))
+        base = ord(some[0][0])
+        rows += [(k * 1000 + 500 + i, "".join(chr(base + rng.randrange(-40, 40)) for _ in range(200)), lang) for i in range(5)]
+    rows += [(9000, "".join(words["zh"]) * 5, "xx"), *[(10_000 + i, t, "en") for i, t in enumerate(corpus[0])]]
+    labels += [(10_000 + i, 1, 0) for i in range(200)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    out = {r["doc_id"]: r for r in quality.classify(docs, spark.createDataFrame(labels, "doc_id bigint, quality int, toxic int")).collect()}
+    assert out[9000]["kept"] and out[9000]["threshold"] is None
+    for k in range(3):
+        assert all(out[k * 1000 + i]["kept"] for i in range(60)) and not any(out[k * 1000 + 500 + i]["kept"] for i in range(5))
+    codes, sizes = quality.grams(pa.array(["的", "鄿", "A", "中"]))
+    assert sizes.tolist() == [3, 3, 1, 3] and len(set(codes[[2, 5, 6, 9]].tolist())) == 4
+
+
+def test_a_very_long_text(spark, corpus):
+    long = " ".join(corpus[0]) * 60  # over a megabyte, alone in its piece
+    docs = spark.createDataFrame([(i, t, "en") for i, t in enumerate(corpus[0])] + [(900, long, "en")], "doc_id bigint, text string, lang string")
+    labels = spark.createDataFrame([(i, 1, 0) for i in range(250)], "doc_id bigint, quality int, toxic int")
+    row = quality.classify(docs, labels).filter("doc_id = 900").first()
+    assert len(long) > 1 << 20 and row["n_symbols"] == len(long) and row["kept"]

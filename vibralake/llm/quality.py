@@ -1,7 +1,8 @@
 """Quality classifier: an interpolated modified Kneser-Ney model of trusted text.
 
-The model is over characters: n-grams of ORDER symbols, packed into 64-bit integers of 12 bits a
-symbol. (Word n-grams of a corpus hardly repeat, so their join would move more than the text.)
+The model is over bytes of UTF-8: n-grams of ORDER symbols, packed into 64-bit integers of 8 bits a
+symbol, so no two characters share a symbol in any script. (Word n-grams of a corpus hardly repeat,
+so their join would move more than the text.)
 
 1. Trusted rows are split by a hash of their identifier: most train, the rest calibrate.
 2. Counts of the highest order are summed over all training rows, sharded by n-gram; each lower
@@ -13,6 +14,16 @@ symbol. (Word n-grams of a corpus hardly repeat, so their join would move more t
 4. A document's perplexity is per symbol, shrunk towards its language's trusted mean by a number of
    prior symbols, so that short texts aren't judged by noise. Documents above a high quantile of
    their language's calibration rows are rejected.
+
+Log-probabilities are integers of 2**-24 and counts are integers, so sums don't depend on their
+order: results are equal over all partitionings, and on both ways of step 3. Quantiles are taken
+over steps of log-perplexity of 2**-16, and a document is judged by its step.
+
+Languages differ in their calibration rows from millions to one. What is compared are differences
+from a language's mean; its quantile of them is mixed with that of all calibration rows, which
+weighs as much as SHRINK rows, and its mean with that of all, which weighs as much as SHRINK_SYMBOLS
+symbols. There is no least number of rows. A language without any calibration row has no threshold,
+and its documents are kept: nothing is known against them.
 """
 
 from __future__ import annotations
@@ -22,34 +33,34 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from vibralake.llm.bloom import mixed
-from vibralake.llm.shared import chunks, clean_columns, row_keys, staged
+from vibralake.llm.shared import chunks, clean_columns, row_keys, ship, staged
 
-ORDER, BITS = 5, 12
+ORDER, BITS = 6, 8
 #: Quantile of the trusted rows' perplexity, share of trusted rows that calibrate (one in so many),
-#: calibration rows that a language needs for a threshold of its own, symbols of prior.
-QUANTILE, FOLDS, LEAST_ROWS, PRIOR = 0.995, 5, 30, 60
+#: symbols of prior, rows and symbols that the whole corpus weighs in a language's quantile and mean.
+QUANTILE, FOLDS, PRIOR, SHRINK, SHRINK_SYMBOLS = 0.995, 5, 60, 30, 2000
+#: Units of a log-probability and of a step of log-perplexity.
+UNIT, STEP = 1 << 24, 1 << 16
 #: Bytes of text handled at once: a symbol takes some ten times eight bytes.
 CHUNK = 1 << 20
 #: Bounds of what is broadcast: scored n-grams, trusted identifiers.
 SCORED_GRAMS, TRUSTED_ROWS = 3_000_000, 1_000_000
-#: Symbols: code points up to 3071 stand for themselves (digits as 0, white space as a blank), the
-#: rest share 1024 symbols; 0 is the start of a text.
-_SYMBOL = np.arange(3072, dtype=np.int64)
+#: Symbols: bytes stand for themselves (digits as 0, white space as a blank); 0 is the start of a text.
+_SYMBOL = np.arange(256, dtype=np.int64)
 _SYMBOL[0] = 1
 _SYMBOL[0x30:0x3A] = 0x30
-_SYMBOL[[0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = 0x20
+_SYMBOL[0x09:0x0E] = 0x20
 
 
 def grams(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The n-gram that ends at each symbol of the texts, and the number of symbols of each text."""
-    texts = texts.fill_null("")
-    sizes = pc.utf8_length(texts).to_numpy(zero_copy_only=False).astype(np.int64)
-    points = np.frombuffer("".join(texts.to_pylist()).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
-    symbols = np.where(points < 3072, _SYMBOL[np.minimum(points, 3071)], 3072 + points % 1024)
+    texts = texts.cast(pa.binary()).fill_null(b"")
+    sizes = pc.binary_length(texts).to_numpy(zero_copy_only=False).astype(np.int64)
+    symbols = _SYMBOL[np.frombuffer(b"".join(texts.to_pylist()), np.uint8)]
     places = np.arange(len(symbols)) + (ORDER - 1) * (np.repeat(np.arange(len(sizes)), sizes) + 1)
     padded = np.zeros(len(symbols) + (ORDER - 1) * len(sizes), np.int64)
     padded[places] = symbols
@@ -87,7 +98,7 @@ class Lookup:
 
     def __init__(self, keys: np.ndarray, values: np.ndarray) -> None:
         self.mask = (1 << max(4, int(len(keys) * 2).bit_length())) - 1
-        self.keys, self.values = np.full(self.mask + 1, -1, np.int64), np.zeros(self.mask + 1, np.float32)
+        self.keys, self.values = np.full(self.mask + 1, -1, np.int64), np.zeros(self.mask + 1, np.int32)
         at, left = self._first(keys), np.arange(len(keys))
         while len(left):
             free = self.keys[at[left]] == -1
@@ -131,14 +142,15 @@ def train(texts: DataFrame) -> list[tuple[DataFrame, DataFrame]]:
         cut = discounts(list(table.agg(*[F.count_if(F.col("n") == i) for i in range(1, 5)]).first()))
         of = F.when(F.col("n") == 1, cut[0]).when(F.col("n") == 2, cut[1]).otherwise(cut[2])
         context = F.shiftright("gram", BITS).alias("context")
-        sums = table.groupBy(context).agg(F.sum("n").alias("total"), F.sum(of).alias("taken"))
+        sums = table.groupBy(context).agg(F.sum("n").alias("total"), *[F.count_if(c).alias(f"n{i}") for i, c in enumerate((F.col("n") == 1, F.col("n") == 2, F.col("n") > 2))])
+        taken = sum((F.col(f"n{i}") * d for i, d in enumerate(cut)), F.lit(0.0))
         parts = table.select("gram", context, (F.col("n") - of).alias("left")).join(sums, "context").select("gram", (F.col("left") / F.col("total")).alias("part"))
-        model.append((parts, sums.select("context", (F.col("taken") / F.col("total")).alias("weight"))))
+        model.append((parts, sums.select("context", (taken / F.col("total")).alias("weight"))))
     return model
 
 
 def score(wanted: DataFrame, model: list[tuple[DataFrame, DataFrame]]) -> DataFrame:
-    """(gram, logp) for the distinct n-grams in wanted: sharded joins with the counts, from order 1 upwards."""
+    """(gram, logp in units) for the distinct n-grams in wanted: sharded joins with the counts, from order 1 upwards."""
     levels = [staged(wanted.select("gram").distinct(), "kn-wanted")]
     for k in range(ORDER - 1, 0, -1):
         levels.append(levels[-1].select(F.col("gram").bitwiseAND(_low(k)).alias("gram")).distinct())
@@ -151,21 +163,21 @@ def score(wanted: DataFrame, model: list[tuple[DataFrame, DataFrame]]) -> DataFr
             rows, lower = rows.join(below, "suffix"), F.col("lower")
         p = F.coalesce("part", F.lit(0.0)) + F.coalesce("weight", F.lit(1.0)) * lower
         below = staged(rows.select(F.col("gram").alias("suffix"), p.alias("lower")), "kn-order")
-    return below.select(F.col("suffix").alias("gram"), F.log("lower").alias("logp"))
+    return below.select(F.col("suffix").alias("gram"), F.round(F.log("lower") * UNIT).cast("int").alias("logp"))
 
 
 def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        columns = batch.column(0).to_numpy(), batch.column(1).to_numpy(zero_copy_only=False).astype(np.float32)
+        columns = batch.column(0).to_numpy(), batch.column(1).to_numpy()
         yield pa.RecordBatch.from_arrays([pa.array([c.tobytes()], pa.binary()) for c in columns], names=["grams", "logps"])
 
 
 def perplexities(work: DataFrame, scored: DataFrame, limit: int = SCORED_GRAMS) -> DataFrame:
-    """work (with key_a, key_b and, as last column, text) with n_symbols and loss, the negative log-likelihood."""
+    """work (with key_a, key_b and, as last column, text) with n_symbols and loss, the negative log-likelihood in units."""
     fields = ", ".join(f"`{c}` {t}" for c, t in work.dtypes)
     if scored.count() <= limit:
         parts = scored.mapInArrow(_packed, "grams binary, logps binary").collect()  # a row a batch: a tenth of the driver's memory that single rows take
-        table = [np.frombuffer(b"".join(bytes(p[c]) for p in parts), kind) for c, kind in (("grams", np.int64), ("logps", np.float32))]
+        table = [np.frombuffer(b"".join(bytes(p[c]) for p in parts), kind) for c, kind in (("grams", np.int64), ("logps", np.int32))]
         del parts
         shared = work.sparkSession.sparkContext.broadcast(tuple(table))
         made: list[Lookup] = []
@@ -175,12 +187,12 @@ def perplexities(work: DataFrame, scored: DataFrame, limit: int = SCORED_GRAMS)
                 made.append(Lookup(*shared.value))
             for batch in chunks(batches, limit=CHUNK):
                 code, sizes = grams(batch.column(batch.num_columns - 1))
-                sums = np.concatenate([[0.0], np.cumsum(made[0].of(code), dtype=np.float64)])
+                sums = np.concatenate([[0], np.cumsum(made[0].of(code), dtype=np.int64)])
                 ends = np.cumsum(sizes)
                 loss = sums[ends - sizes] - sums[ends]
                 yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(sizes), pa.array(loss)], names=[*batch.schema.names, "n_symbols", "loss"])
 
-        return work.mapInArrow(run, fields + ", n_symbols bigint, loss double")
+        return work.mapInArrow(run, fields + ", n_symbols bigint, loss bigint")
 
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in chunks(batches, limit=CHUNK):
@@ -197,7 +209,7 @@ def perplexities(work: DataFrame, scored: DataFrame, limit: int = SCORED_GRAMS)
     keyed = work.select("key_a", "key_b", "text").dropDuplicates(["key_a", "key_b"])
     rows = keyed.mapInArrow(spread, "key_a bigint, key_b bigint, gram bigint, n bigint").join(scored, "gram")
     sums = rows.groupBy("key_a", "key_b").agg(F.sum("n").alias("n_symbols"), (-F.sum(F.col("n") * F.col("logp"))).alias("loss"))
-    return work.join(sums, ["key_a", "key_b"], "left").select(*work.columns, F.coalesce("n_symbols", F.lit(0)).alias("n_symbols"), F.coalesce("loss", F.lit(0.0)).alias("loss"))
+    return work.join(sums, ["key_a", "key_b"], "left").select(*work.columns, F.coalesce("n_symbols", F.lit(0)).alias("n_symbols"), F.coalesce("loss", F.lit(0)).alias("loss"))
 
 
 def trusted_ids(labels: DataFrame) -> DataFrame:
@@ -207,6 +219,13 @@ def trusted_ids(labels: DataFrame) -> DataFrame:
     return every.filter("good = 1 and toxic = 0").select("doc")
 
 
+def quantile_of(tally: DataFrame, keys: list[str], quantile: float) -> DataFrame:
+    """keys, step, rows: the least step that this part of the rows doesn't pass, and their number, from (keys, step, rows)."""
+    before = Window.partitionBy(*keys) if keys else Window.partitionBy(F.lit(0))
+    counted = tally.withColumns({"total": F.sum("rows").over(before), "upto": F.sum("rows").over(before.orderBy("step"))})
+    return counted.filter(F.col("upto") >= F.lit(quantile) * F.col("total")).groupBy(*keys).agg(F.min("step").alias("step"), F.first("total").alias("rows")).filter("step is not null")
+
+
 #: Columns that the operator makes.
 RESULTS = ("n_symbols", "perplexity", "threshold", "kept")
 
@@ -224,12 +243,14 @@ def classify(
 ) -> DataFrame:
     """One row per row of df: identifier, columns, text, n_symbols, perplexity, threshold, kept.
 
-    Trusted are rows of df whose identifier is labelled good and not toxic. A language's threshold
-    is the quantile of its calibration rows' perplexity; with too few of them (or without a
-    language) that of all calibration rows; without any it is null. A row is kept unless its
-    perplexity is above its threshold; a null or empty text has no perplexity and is kept. Columns
-    that aren't named are left out, as are columns named like the results; repeated rows give equal results; an empty table gives none.
+    Trusted are rows of df whose identifier is labelled good and not toxic. A row is kept unless its
+    perplexity is above its language's threshold (null is a language of its own), which is null, and
+    the row kept, without any calibration row of the language; a null or empty text has no
+    perplexity and is kept; one of any length is scored whole. Columns that aren't named are left
+    out, as are columns named like the results; repeated rows give equal results; an empty table
+    gives none.
     """
+    ship(df.sparkSession)
     carried = {f"__{i}": c for i, c in enumerate(columns) if c.lower() not in RESULTS}
     work = df.select(
         F.col(f"`{identifier}`").cast("bigint").alias("doc"),
@@ -249,17 +270,20 @@ def classify(
     keyed = lambda d: d.select(*row_keys("doc", "text"), *[c for c in d.columns if c != "text"], "text")
     held = staged(perplexities(keyed(trusted.filter((fold == 0) & (F.length("text") > 0))), scored, scored_grams).select("language", "n_symbols", "loss"), "calibration")
     pooled = held.agg(F.sum("loss").alias("loss"), F.sum("n_symbols").alias("n")).first()
-    mean_all = pooled["loss"] / pooled["n"] if pooled["n"] else None
-    means = held.groupBy("language").agg((F.sum("loss") / F.sum("n_symbols")).alias("mean"), F.count("*").alias("rows")).filter(F.col("rows") >= LEAST_ROWS)
-    shrunk = F.exp((F.col("loss") + PRIOR * F.col("mean")) / (F.col("n_symbols") + PRIOR))
-    # A language's mean and threshold, and the pooled threshold.
-    at = F.percentile_approx("perplexity", F.lit(quantile), F.lit(100_000)).alias("threshold")
-    own = held.join(means, "language").withColumn("perplexity", shrunk).groupBy("language").agg(F.first("mean").alias("mean"), at)
-    rest = held.withColumn("mean", F.lit(mean_all)).withColumn("perplexity", shrunk).agg(at).first()["threshold"] if mean_all is not None else None
-    rules = staged(own, "rules")  # a row a language; joined by broadcast if Spark's own bound allows it
+    mean_all = pooled["loss"] / pooled["n"] if pooled["n"] else 0.0
+    means = held.groupBy("language").agg(((F.sum("loss") + F.lit(SHRINK_SYMBOLS * mean_all)) / (F.sum("n_symbols") + SHRINK_SYMBOLS)).alias("mean"))
+    # log-perplexity in steps, as the difference from the language's mean
+    shrunk = (F.col("loss") + PRIOR * F.col("mean")) / (F.col("n_symbols") + PRIOR)
+    step = F.round((shrunk - F.col("mean")) / (UNIT / STEP)).cast("bigint")
+    tally = staged(held.join(means, "language").groupBy("language", step.alias("step")).agg(F.count("*").alias("rows")), "tally")  # at most as many steps as perplexities differ by
+    every = quantile_of(tally.groupBy("step").agg(F.sum("rows").alias("rows")), [], quantile).first()
+    share = F.col("rows") / (F.col("rows") + SHRINK)
+    limit = F.round(share * F.col("step") + (1 - share) * F.lit(every["step"] if every else 0)).cast("bigint")
+    own = quantile_of(tally, ["language"], quantile).select("language", limit.alias("limit"))
+    rules = staged(own.join(means, "language"), "rules")  # a row a language; joined by broadcast if Spark's own bound allows it
     judged = perplexities(keyed(work), scored, scored_grams).join(rules, "language", "left")
-    judged = judged.withColumns({"mean": F.coalesce("mean", F.lit(mean_all).cast("double")), "threshold": F.coalesce("threshold", F.lit(rest).cast("double"))})
-    judged = judged.withColumn("perplexity", F.when(F.col("n_symbols") > 0, F.coalesce(shrunk, F.exp(F.col("loss") / F.col("n_symbols")))))
+    judged = judged.withColumns({"step": step, "mean": F.coalesce("mean", F.lit(mean_all))})
+    judged = judged.withColumns({"perplexity": F.when(F.col("n_symbols") > 0, F.exp(shrunk / UNIT)), "threshold": F.exp(F.col("mean") / UNIT + F.col("limit") / STEP)})
     return judged.select(
         F.col("doc").alias(identifier),
         *[F.col(a).alias(c) for a, c in carried.items()],
@@ -267,7 +291,7 @@ def classify(
         "n_symbols",
         "perplexity",
         "threshold",
-        F.coalesce(F.col("perplexity") <= F.col("threshold"), F.lit(True)).alias("kept"),
+        F.coalesce(F.col("perplexity").isNull() | (F.col("step") <= F.col("limit")), F.lit(True)).alias("kept"),
     )
 
 
