@@ -1,10 +1,13 @@
 """Mixing sources to target weights by soft membership.
 
 1. A classifier learns domains from a labelled table: multinomial naive Bayes over hashed words, its
-   counts summed over all labelled rows. The model's size is fixed by domains times buckets.
+   counts summed over all labelled rows, sharded by domain and block of buckets. Any number of
+   domains is fitted: the more there are, the fewer buckets each has, so the model's size is bounded
+   until there are thousands.
 2. Every document gets its number of tokens (words) and the posterior of each domain. A document
-   belongs to all domains in part, so domains have expected token totals.
-3. Rates r >= least_rate, one for each document, are fitted so that the expected totals under the
+   belongs to all domains in part, so domains have expected token totals. What a posterior has below
+   1e-9 is cut, and the rest is kept as pairs (domain, probability).
+3. Rates r >= least rate, one for each document, are fitted so that the expected totals under the
    rates match the targets: accelerated projected gradient on
 
        1/2 sum_k (T_k(r)/N - w_k)^2 / c_k + ridge/2 sum_d n_d/N (r_d - 1)^2,  T_k(r) = sum_d r_d n_d p_dk.
@@ -13,39 +16,50 @@
    much of the corpus it is: with target 0, documents that are all its own get ridge/(1 + ridge).
    A document's rate follows from its posterior and the gradients of all steps so far, which are
    a few numbers a step. So a step is one pass over (tokens, posterior) that replays the steps and
-   sums the totals; no rates are kept between steps, and a lost executor loses nothing.
+   sums the totals; no rates are kept between steps, and a lost executor loses nothing. The length of
+   a step comes from the domains' shares, which bound the curvature: the scaled matrix of moments has
+   no eigenvalue above its largest row sum.
 """
 
 from __future__ import annotations
 
 import warnings
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vibralake.llm.bloom import mixed
-from vibralake.llm.shared import chunks, clean_columns, staged
+from vibralake.llm.shared import chunks, clean_columns, ship, staged
 from vibralake.llm.substring import word_hashes
 
-#: Buckets of hashed words, additive smoothing, temperature of the posteriors, domains at most.
-BUCKETS, SMOOTHING, TEMPERATURE, MOST_DOMAINS = 1 << 16, 0.1, 4.0, 64
+#: Buckets of hashed words at most and at least, entries of the model at most (where buckets can fall), buckets
+#: of a block, additive smoothing, temperature of the posteriors, the least probability that is kept.
+BUCKETS, LEAST_BUCKETS, ENTRIES, BLOCK, SMOOTHING, TEMPERATURE, LEAST_POSTERIOR = 1 << 16, 1 << 10, 1 << 21, 1 << 10, 0.1, 4.0, 1e-9
 #: Weight of staying at rate 1; steps at most (a step takes 1 - sqrt(ridge) of the error or less, so the fit ends long before);
 #: the largest change of a domain's total by a step, as a part of its share or target, that ends the fit.
 RIDGE, STEPS, TOLERANCE = 2e-3, 1000, 2e-6
+#: Gap of a domain's total, as a part of its share or target, from which on a warning is given.
+MISSED = 0.02
 #: Labelled identifiers that are broadcast at most; with more, the labelled table is joined by shuffle.
 LABELLED_ROWS = 1_000_000
 _PARTS = np.zeros(256, bool)
 _PARTS[:128] = [not chr(b).isalnum() for b in range(128)]
 
 
-def features(texts: pa.Array) -> tuple[list[tuple[np.ndarray, np.ndarray]], np.ndarray]:
+def buckets_of(domains: int) -> int:
+    """How many buckets each of so many domains has: a power of two."""
+    return max(LEAST_BUCKETS, min(BUCKETS, 1 << max(ENTRIES // max(domains, 1), 1).bit_length() - 1))
+
+
+def features(texts: pa.Array, buckets: int = BUCKETS) -> tuple[list[tuple[np.ndarray, np.ndarray]], np.ndarray]:
     """Buckets of words and how many each text has, for words as they are and in lower case without punctuation; words of each text."""
     plain, counts = word_hashes(texts)
     bare, more = word_hashes(texts, fold=True, separator=_PARTS)
-    bucket = lambda code: (code & np.uint64(BUCKETS - 1)).astype(np.int64)
+    bucket = lambda code: (code & np.uint64(buckets - 1)).astype(np.int64)
     return [(bucket(plain), counts), (bucket(mixed(bare, 41)), more)], counts
 
 
@@ -62,8 +76,10 @@ class Model:
     """Log-probabilities of buckets by domain, and log-priors."""
 
     def __init__(self, counts: np.ndarray, rows: np.ndarray) -> None:
-        smooth = counts + SMOOTHING
-        self.bucket = np.log(smooth / smooth.sum(axis=1, keepdims=True)).astype(np.float32)
+        self.buckets = counts.shape[1]
+        self.bucket = np.empty(counts.shape, np.float32)
+        for k, row in enumerate(counts):
+            self.bucket[k] = np.log((row + SMOOTHING) / (row.sum() + SMOOTHING * self.buckets))
         self.prior = np.log((rows + 1) / (rows + 1).sum())
 
     def posteriors(self, sets: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
@@ -75,63 +91,115 @@ class Model:
                 for k in range(len(self.prior)):
                     logits[some, k] += np.add.reduceat(self.bucket[k][code], first, dtype=np.float64) / TEMPERATURE
         made = np.exp(logits - logits.max(axis=1, keepdims=True))
+        made /= made.sum(axis=1, keepdims=True)
+        made[made < LEAST_POSTERIOR] = 0
         return made / made.sum(axis=1, keepdims=True)
 
 
 def fit_classifier(labelled: DataFrame, domains: list[str]) -> Model:
-    """From rows (number of the domain, text)."""
-    size = len(domains)
+    """From rows (number of the domain, text). A task gives what it counted by domain and block, so no task of the sum holds a domain."""
+    size, buckets = len(domains), buckets_of(len(domains))
+    block = min(BLOCK, buckets)
 
     def local(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums, rows = np.zeros((size, BUCKETS), np.int64), np.zeros(size, np.int64)
+        code, many, rows = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(size, np.int64)
         for batch in chunks(batches):
             at = batch.column(0).to_numpy().astype(np.int64)
-            for code, counts in features(batch.column(1))[0]:
-                sums += np.bincount(np.repeat(at, counts) * BUCKETS + code, minlength=size * BUCKETS).reshape(size, BUCKETS)
+            fresh = [np.repeat(at, counts) * buckets + code_ for code_, counts in features(batch.column(1), buckets)[0]]
+            found, n = np.unique(np.concatenate(fresh), return_counts=True)
+            code, back = np.unique(np.concatenate([code, found]), return_inverse=True)
+            many = np.bincount(back, weights=np.concatenate([many, n]), minlength=len(code)).astype(np.int64)
             rows += np.bincount(at, minlength=size)
-        yield _sums(range(size), rows, sums)
+        heads = np.flatnonzero(np.concatenate([[True], code[1:] // block != code[:-1] // block])) if len(code) else np.zeros(0, np.int64)
+        packed = zip(np.split(code % block, heads[1:]), np.split(many, heads[1:]), strict=True) if len(code) else ()
+        made = [np.concatenate([c, n]).tobytes() for c, n in packed]
+        seen = np.flatnonzero(rows)
+        yield _sums([*(code[heads] // block).tolist(), *(-1 - seen).tolist()], [*made, *[rows[k].tobytes() for k in seen]])
 
     def added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total: dict[int, list] = {}
+        """Blocks from 0 on have counts, and block -1 - k the number of rows of domain k."""
+        total: dict[int, np.ndarray] = {}
         for batch in batches:
-            for k, n, raw in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                have = total.setdefault(k, [0, np.zeros(BUCKETS, np.int64)])
-                have[0] += n
-                have[1] = have[1] + np.frombuffer(raw, np.int64)
-        yield _sums(total, [x[0] for x in total.values()], [x[1] for x in total.values()])
-
-    schema = "domain int, rows bigint, counts binary"
-    counts, rows = np.zeros((size, BUCKETS), np.int64), np.zeros(size, np.int64)
-    for row in labelled.mapInArrow(local, schema).repartition("domain").mapInArrow(added, schema).collect():  # one row a domain
-        counts[row["domain"]], rows[row["domain"]] = np.frombuffer(row["counts"], np.int64), row["rows"]
+            for at, raw in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                pairs = np.frombuffer(raw, np.int64)
+                if at < 0:
+                    total[at] = total.get(at, 0) + pairs
+                else:
+                    held = total.setdefault(at, np.zeros(block, np.int64))
+                    held[pairs[: len(pairs) // 2]] += pairs[len(pairs) // 2 :]
+        yield _sums(list(total), [x.tobytes() for x in total.values()])
+
+    schema = "block int, counts binary"
+    counts, rows = np.zeros((size, buckets), np.int64), np.zeros(size, np.int64)
+    flat = counts.reshape(-1)
+    for row in labelled.mapInArrow(local, schema).repartition("block").mapInArrow(added, schema).toLocalIterator():  # at most a row a block
+        if row["block"] < 0:
+            rows[-1 - row["block"]] = np.frombuffer(row["counts"], np.int64)[0]
+        else:
+            flat[row["block"] * block : (row["block"] + 1) * block] = np.frombuffer(row["counts"], np.int64)
     return Model(counts, rows)
 
 
-def _sums(domains, rows, counts) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(list(domains), pa.int32()), pa.array(list(rows), pa.int64()), pa.array([c.tobytes() for c in counts], pa.binary())], names=["domain", "rows", "counts"])
+def _sums(blocks: list[int], counts: list[bytes]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(blocks, pa.int32()), pa.array(counts, pa.binary())], names=["block", "counts"])
+
+
+_PAIR = np.dtype([("domain", "<i4"), ("p", "<f8")])
+
+
+def packed_posteriors(p: np.ndarray) -> list[bytes]:
+    """Each row's probabilities above 0 with their domains."""
+    row, column = np.nonzero(p)
+    pairs = np.empty(len(row), _PAIR)
+    pairs["domain"], pairs["p"] = column, p[row, column]
+    ends = np.cumsum(np.bincount(row, minlength=len(p)))
+    return [x.tobytes() for x in np.split(pairs, ends[:-1])] if len(p) else []
+
+
+def dense_posteriors(packed: pa.Array, domains: int) -> Iterator[tuple[int, np.ndarray]]:
+    """Where a piece of the rows begins, and its posteriors as a matrix of bounded size."""
+    step = max(1, (1 << 20) // max(domains, 1))
+    for start in range(0, len(packed), step):
+        rows = [np.frombuffer(x, _PAIR) for x in packed.slice(start, step).to_pylist()]
+        p = np.zeros((len(rows), domains))
+        pairs = np.concatenate(rows)
+        p[np.repeat(np.arange(len(rows)), [len(x) for x in rows]), pairs["domain"]] = pairs["p"]
+        yield start, p
 
 
-def replayed(posterior: np.ndarray, gaps: list[np.ndarray], steps: list[float], size: float, ridge: float, least: float) -> np.ndarray:
-    """Rates after the steps that the gradients in gaps and the momenta in steps describe."""
-    return _replayed(posterior, gaps, steps, size, ridge, least)[0]
+@dataclass(frozen=True)
+class Bounds:
+    """The least rate; and, if domains are wanted or not by their targets, 1 at least for documents likeliest in a wanted one, 0 for others."""
 
+    least: float = 0.0
+    wanted: tuple[bool, ...] = ()
 
-def _replayed(posterior: np.ndarray, gaps: list[np.ndarray], steps: list[float], size: float, ridge: float, least: float) -> tuple[np.ndarray, np.ndarray]:
-    """Rates after the steps, and how far the last step took them."""
-    rate = look = np.full(len(posterior), max(1.0, least))
+    def of(self, posterior: np.ndarray) -> tuple[np.ndarray | float, np.ndarray | float]:
+        if not self.wanted:
+            return self.least, np.inf
+        good = np.array(self.wanted)[posterior.argmax(axis=1)]
+        return np.where(good, max(1.0, self.least), 0.0), np.where(good, np.inf, 0.0)
+
+
+def replayed(posterior: np.ndarray, gaps: list[np.ndarray], steps: list[float], size: float, ridge: float, bounds: Bounds) -> tuple[np.ndarray, np.ndarray]:
+    """Rates after the steps that the gradients in gaps and the momenta in steps describe, and how far the last step took them."""
+    low, high = bounds.of(posterior)
+    rate = look = np.clip(np.ones(len(posterior)), low, high)
     moved = np.zeros(len(posterior))
     for gap, momentum in zip(gaps, steps, strict=True):
-        new = np.maximum(look - size * (posterior @ gap + ridge * (look - 1)), least)
+        new = np.clip(look - size * (posterior @ gap + ridge * (look - 1)), low, high)
         moved = np.abs(new - look)
         look, rate = new + momentum * (new - rate), new
     return rate, moved
 
 
-def fit_rates(members: DataFrame, domains: int, targets: np.ndarray, total: float, ridge: float = RIDGE, least: float = 0.0, most_steps: int = STEPS, tolerance: float = TOLERANCE, scale: np.ndarray | None = None):
-    """For members (tokens, posterior as packed doubles), what replayed() needs: gaps, momenta, size of a step; and the fitted shares.
+def fit_rates(members: DataFrame, shares: np.ndarray, targets: np.ndarray, total: float, ridge: float = RIDGE, bounds: Bounds = Bounds(), most_steps: int = STEPS, tolerance: float = TOLERANCE, scale: np.ndarray | None = None):
+    """For members (tokens, posterior packed), what replayed() needs: gaps, momenta, size of a step; and the fitted shares.
 
-    scale holds the c_k by which residuals are divided (left out: 1); the gaps returned are divided by them.
+    shares are those of the domains at rates of 1; scale holds the c_k by which residuals are divided
+    (left out: 1); the gaps returned are divided by them.
     """
+    domains = len(shares)
     scale = np.ones(domains) if scale is None else scale
 
     def totals(gaps: list[np.ndarray], steps: list[float], size: float) -> tuple[np.ndarray, np.ndarray]:
@@ -140,9 +208,9 @@ def fit_rates(members: DataFrame, domains: int, targets: np.ndarray, total: floa
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             sums = np.zeros((2, domains))
             for batch in batches:
-                if batch.num_rows:
-                    p = np.frombuffer(b"".join(batch.column(1).to_pylist()), np.float64).reshape(-1, domains)
-                    sums += (batch.column(0).to_numpy() * np.stack(_replayed(p, gaps, steps, size, ridge, least))) @ p
+                tokens = batch.column(0).to_numpy()
+                for start, p in dense_posteriors(batch.column(1), domains):
+                    sums += (tokens[start : start + len(p)] * np.stack(replayed(p, gaps, steps, size, ridge, bounds))) @ p
             yield pa.RecordBatch.from_arrays([pa.array(range(2 * domains), pa.int32()), pa.array(sums.ravel())], names=["k", "v"])
 
         out = np.zeros(2 * domains)
@@ -151,18 +219,7 @@ def fit_rates(members: DataFrame, domains: int, targets: np.ndarray, total: floa
         shares, moved = out.reshape(2, domains) / max(total, 1.0)
         return shares, moved
 
-    def moments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums = np.zeros((domains, domains))
-        for batch in batches:
-            if batch.num_rows:
-                p = np.frombuffer(b"".join(batch.column(1).to_pylist()), np.float64).reshape(-1, domains)
-                sums += (p * batch.column(0).to_numpy()[:, None]).T @ p
-        yield pa.RecordBatch.from_arrays([pa.array(range(domains**2), pa.int32()), pa.array(sums.ravel())], names=["k", "v"])
-
-    curve = np.zeros(domains**2)
-    for row in members.select("tokens", "posterior").mapInArrow(moments, "k int, v double").groupBy("k").agg(F.sum("v").alias("v")).collect():
-        curve[row["k"]] = row["v"]
-    steepest = float(np.linalg.eigvalsh(curve.reshape(domains, domains) / max(total, 1.0) / np.sqrt(np.outer(scale, scale))).max(initial=0.0))
+    steepest = float((shares / scale).max(initial=0.0))
     size = 1.0 / (steepest + ridge) if steepest + ridge > 0 else 1.0
     gaps: list[np.ndarray] = []
     steps: list[float] = []
@@ -184,6 +241,19 @@ def fit_rates(members: DataFrame, domains: int, targets: np.ndarray, total: floa
     return gaps, steps, size, now
 
 
+def uses_of(rate: Column, *key: Column | str) -> Column:
+    """A whole number of uses whose expectation is the rate: its floor, and one more by a draw that depends on key alone."""
+    draw = F.pmod(F.xxhash64(F.lit(77), *key), F.lit(1 << 40)) / F.lit(float(1 << 40))
+    return (F.floor(rate) + (draw < rate - F.floor(rate)).cast("int")).cast("int")
+
+
+def raised(shares: dict[str, float], power: float) -> dict[str, float]:
+    """Target totals: good domains smaller than the largest get as much more as brings the ratio of totals to its power; others get none."""
+    good = {k: v for k, v in shares.items() if k.endswith("/good") and v > 0}
+    top = max(good.values(), default=0.0)
+    return {k: top * (good[k] / top) ** power if k in good else 0.0 for k in shares}
+
+
 def tempered(shares: dict[str, float], power: float) -> dict[str, float]:
     """Target totals: the good domains share the expected tokens of the good, in proportion to a power of their own; others get none."""
     good = {k: v for k, v in shares.items() if k.endswith("/good") and v > 0}
@@ -208,19 +278,25 @@ def mix(
     targets: dict[str, float] | None = None,
     with_text: bool = True,
     report: dict[str, tuple[float, float, float]] | None = None,
+    keep_wanted: bool = False,
+    aim: Callable[[dict[str, float]], dict[str, float]] | None = None,
 ) -> DataFrame:
     """One row per row of df: identifier, columns, text (unless with_text is off), n_tokens, domain, posterior, rate.
 
     Domains are language/class, with class toxic, good or poor by the labels. targets gives shares
-    of the tokens by domain (left out: 0); without it, the good domains share what the good have, in
-    proportion to a power of their expected tokens, and the others get none. domain is the likeliest
-    one and posterior its probability; report is filled with each domain's share, target and the share
-    that the rates reach, all of the tokens beforehand. rate is how many times the document is to be used. Without
+    of the tokens by domain (left out: 0), or aim makes them from the domains' own shares; without
+    either, the good domains share what the good have, in proportion to a power of their expected
+    tokens, and the others get none. There may be any number of domains. domain is the likeliest one
+    and posterior its probability; report is filled with each domain's share, target and the share
+    that the rates reach, all of the tokens beforehand; a domain that misses its target by more than
+    MISSED of it (or of its share, if that is larger) is warned of. rate is how many times the document is to be used;
+    keep_wanted holds it at 1 or more for documents whose likeliest domain has a target above 0, and
+    at 0 for the others. Without
     any labelled row of df there are no domains: domain and posterior are null, and rates 1. A null
-    text counts as empty and has no tokens: its domain is the likeliest beforehand. Repeated rows
+    text counts as empty and has no tokens: its domain is the likeliest beforehand. A text of any length is judged whole. Repeated rows
     get equal rates; an empty table gives none; columns that aren't named are left out, as are columns named like the results.
     """
-    spark = df.sparkSession
+    spark = ship(df.sparkSession)
     carried = {f"__{i}": c for i, c in enumerate(columns) if c.lower() not in RESULTS}
     work = df.select(
         F.col(f"`{identifier}`").cast("bigint").alias("doc"),
@@ -229,9 +305,7 @@ def mix(
         F.coalesce(F.col(f"`{text}`").cast("string"), F.lit("")).alias("text"),
     )
     known = staged(_domain(labels, work, "language"), "domains")
-    domains = [r["domain"] for r in known.select("domain").distinct().orderBy("domain").limit(MOST_DOMAINS + 1).collect()]
-    if len(domains) > MOST_DOMAINS:
-        raise ValueError(f"more than {MOST_DOMAINS} domains are labelled")
+    domains = [r["domain"] for r in known.select("domain").distinct().orderBy("domain").toLocalIterator()]
     named = [F.col(a).alias(c) for a, c in carried.items()]
     body = [F.col("text").alias(text)] if with_text else []
     if not domains:
@@ -239,59 +313,65 @@ def mix(
         nothing = [F.lit(None).cast("string").alias("domain"), F.lit(None).cast("double").alias("posterior"), F.lit(1.0).alias("rate")]
         return work.select(F.col("doc").alias(identifier), *named, *body, n.alias("n_tokens"), *nothing)
 
-    numbered = known.select("doc", (F.array_position(F.array(*map(F.lit, domains)), F.col("domain")) - 1).cast("int").alias("number"))
+    order = spark.createDataFrame(list(enumerate(domains)), "number int, domain string")
+    numbered = known.join(F.broadcast(order), "domain").select("doc", "number")  # a row a domain
     if known.count() <= labelled_rows:
         numbered = F.broadcast(numbered)
     model = spark.sparkContext.broadcast(fit_classifier(work.select("doc", "text").join(numbered, "doc").select("number", "text"), domains))
 
     def judged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in chunks(batches):
-            sets, words = features(batch.column(batch.num_columns - 1))
-            p = model.value.posteriors(sets)
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(words), pa.array([x.tobytes() for x in p], pa.binary())], names=[*batch.schema.names[:-1], "tokens", "posterior"])
+            sets, words = features(batch.column(batch.num_columns - 1), model.value.buckets)
+            made = [batch.column(batch.num_columns - 1)] if with_text else []
+            p = pa.array(packed_posteriors(model.value.posteriors(sets)), pa.binary())
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *made, pa.array(words), p], names=[*batch.schema.names[: len(batch.columns) - 1 + len(made)], "tokens", "posterior"])
 
-    slim = ", ".join(f"`{c}` {t}" for c, t in work.dtypes[:-1])
+    slim = ", ".join(f"`{c}` {t}" for c, t in (work.dtypes if with_text else work.dtypes[:-1]))
     rows = staged(work.mapInArrow(judged, f"{slim}, tokens bigint, posterior binary"), "members")
     members = rows.select("tokens", "posterior")
     size = len(domains)
     expected = np.zeros(size)
 
     def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = np.zeros(size)
         for batch in batches:
-            if batch.num_rows:
-                p = np.frombuffer(b"".join(batch.column(1).to_pylist()), np.float64).reshape(-1, size)
-                yield pa.RecordBatch.from_arrays([pa.array(range(size), pa.int32()), pa.array(batch.column(0).to_numpy() @ p)], names=["k", "v"])
+            tokens = batch.column(0).to_numpy()
+            for start, p in dense_posteriors(batch.column(1), size):
+                held += tokens[start : start + len(p)] @ p
+        yield pa.RecordBatch.from_arrays([pa.array(range(size), pa.int32()), pa.array(held)], names=["k", "v"])
 
     for row in members.mapInArrow(sums, "k int, v double").groupBy("k").agg(F.sum("v").alias("v")).collect():
         expected[row["k"]] = row["v"]
     total = float(expected.sum())
     shares = dict(zip(domains, (expected / max(total, 1.0)).tolist(), strict=True))
-    wanted = tempered(shares, power) if targets is None else targets
+    wanted = targets if targets is not None else aim(shares) if aim else tempered(shares, power)
     aims = np.array([wanted.get(k, 0.0) for k in domains])
     scale = np.maximum(expected / max(total, 1.0), aims)
     scale[scale <= 0] = 1.0
-    gaps, steps, step, reached = fit_rates(members, size, aims, total, least=least_rate, scale=scale)
+    bounds = Bounds(least_rate, tuple((aims > 0).tolist()) if keep_wanted else ())
+    gaps, steps, step, reached = fit_rates(members, expected / max(total, 1.0), aims, total, bounds=bounds, scale=scale)
+    missed = np.flatnonzero(np.abs(reached - aims) > MISSED * scale)
+    if len(missed):
+        worst = missed[np.argmax((np.abs(reached - aims) / scale)[missed])]
+        warnings.warn(f"{len(missed)} of {size} domains miss their target by over {MISSED:.0%}; {domains[worst]} reaches {reached[worst]:.3g} of {aims[worst]:.3g}", stacklevel=2)
     if report is not None:
         report.update({k: (shares[k], float(aims[i]), float(reached[i])) for i, k in enumerate(domains)})
 
     def rated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Without text, from the staged posteriors; with it, from the text."""
+        """From the staged posteriors."""
         for batch in chunks(batches) if with_text else batches:
             if not batch.num_rows:
                 continue
-            if with_text:
-                sets, words = features(batch.column(batch.num_columns - 1))
-                p, kept, words = model.value.posteriors(sets), batch.columns, pa.array(words)
-            else:
-                p = np.frombuffer(b"".join(batch.column(batch.num_columns - 1).to_pylist()), np.float64).reshape(-1, size)
-                kept, words = batch.columns[:-2], batch.column(batch.num_columns - 2)
-            rate = replayed(p, gaps, steps, step, RIDGE, least_rate)
-            best = p.argmax(axis=1)
-            made = [words, pa.array([domains[k] for k in best.tolist()], pa.string()), pa.array(p[np.arange(len(p)), best]), pa.array(rate)]
-            yield pa.RecordBatch.from_arrays([*kept, *made], names=[*batch.schema.names[: len(kept)], "n_tokens", "domain", "posterior", "rate"])
-
-    fields = slim + (", text string" if with_text else "")
-    out = (work if with_text else rows).mapInArrow(rated, fields + ", n_tokens bigint, domain string, posterior double, rate double")
+            best, chance, rate = [], [], []
+            for _, p in dense_posteriors(batch.column(batch.num_columns - 1), size):
+                top = p.argmax(axis=1)
+                best += [domains[k] for k in top.tolist()]
+                chance.append(p[np.arange(len(p)), top])
+                rate.append(replayed(p, gaps, steps, step, RIDGE, bounds)[0])
+            made = [batch.column(batch.num_columns - 2), pa.array(best, pa.string()), pa.array(np.concatenate(chance)), pa.array(np.concatenate(rate))]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-2], *made], names=[*batch.schema.names[:-2], "n_tokens", "domain", "posterior", "rate"])
+
+    out = rows.mapInArrow(rated, slim + ", n_tokens bigint, domain string, posterior double, rate double")
     return out.select(F.col("doc").alias(identifier), *named, *body, "n_tokens", "domain", "posterior", "rate")
 
 
