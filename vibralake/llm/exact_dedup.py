@@ -3,10 +3,11 @@
 1. Each input task inserts its rows' full byte strings into a compressed radix trie. A terminal
    node stores the smallest identifier seen and a count, so a text leaves a task once (or once per
    flush of the trie), however many copies the task has: hot texts shrink before the shuffle.
-2. What is left is partitioned by length and content hash, sorted by them, and inserted into the
-   owners' tries. When a trie is over its memory budget, all subtrees but that of the current
-   (length, hash) prefix are complete, as rows come in that order; they are given out and dropped.
-   What the memory can't hold waits, sorted by subtree, in Spark's own external sort.
+2. What is left is dealt into partitions by length and content hash. A partition's strings arrive in
+   their own order and are inserted into the owner's trie, whose edges they share as far as they
+   begin alike. When the trie is over its memory budget, every subtree beside the path of the current
+   string is complete, as what follows sorts after it; all are given out and dropped. What the memory
+   can't hold waits, sorted by subtree, in Spark's own external sort.
 3. Decisions go back to rows by the number of their local group, a key that is never hot.
 
 Equality is that of full byte strings; hashes only place them.
@@ -23,7 +24,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vibralake.llm.shared import LOWER, UPPER, chunks, clean_columns, staged
+from vibralake.llm.shared import LOWER, UPPER, chunks, clean_columns, ship, staged
 
 #: Bytes of labels and nodes that a trie may hold in a task before it gives out subtrees.
 TRIE_BYTES = 48 << 20
@@ -80,7 +81,7 @@ class Trie:
         return node
 
     def take(self, keep: bytes | None = None) -> Iterator[tuple[bytes, list]]:
-        """Give out and drop all keys, but for those that start with keep."""
+        """Give out and drop all subtrees but that of keep."""
         stack, kept = [(self.root, b"")], []
         while stack:
             node, above = stack.pop()
@@ -96,10 +97,6 @@ class Trie:
             self.at(key).data = data
 
 
-def _prefix(n: int, digest: int) -> bytes:
-    return n.to_bytes(8, "big") + digest.to_bytes(8, "big")
-
-
 def _local(batches: Iterator[pa.RecordBatch], budget: int = TRIE_BYTES) -> Iterator[pa.RecordBatch]:
     """Rows (row, rank, grp) and groups (grp, rank, row, count, text, length, hash, sha)."""
     names = ["row", "rank", "grp", "copies", "text", "length", "hash", "sha"]
@@ -112,9 +109,8 @@ def _local(batches: Iterator[pa.RecordBatch], budget: int = TRIE_BYTES) -> Itera
         out: list[tuple] = []
         held = 0
         for key, (grp, rank, row, copies) in trie.take():
-            text = key[16:]
-            out.append((row, rank, grp, copies, text, len(text), xxhash.xxh3_64_intdigest(text) - (1 << 63), hashlib.sha256(text).digest()))
-            held += len(text)
+            out.append((row, rank, grp, copies, key, len(key), xxhash.xxh3_64_intdigest(key) - (1 << 63), hashlib.sha256(key).digest()))
+            held += len(key)
             if held > 4 << 20:
                 yield made(out)
                 out, held = [], 0
@@ -128,7 +124,7 @@ def _local(batches: Iterator[pa.RecordBatch], budget: int = TRIE_BYTES) -> Itera
         out = []
         for rank, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
             folded = (text or "").encode().translate(_FOLD)
-            node = trie.at(_prefix(len(folded), xxhash.xxh3_64_intdigest(folded)) + folded)
+            node = trie.at(folded)
             row = base + rows
             rows += 1
             if node.data is None:
@@ -165,9 +161,8 @@ def _owners(batches: Iterator[pa.RecordBatch], budget: int = TRIE_BYTES) -> Iter
         return pa.RecordBatch.from_arrays([pa.array([x[i] for x in out], k) for i, k in enumerate(kinds)], names=names)
 
     for batch in chunks(batches):
-        for row, rank, grp, copies, text, length, code, sha in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-            prefix = _prefix(length, code + (1 << 63))
-            node = trie.at(prefix + text)
+        for row, rank, grp, copies, text, sha in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            node = trie.at(text)
             if node.data is None:
                 node.data = [[grp], rank, row, copies, sha]
             else:
@@ -176,7 +171,7 @@ def _owners(batches: Iterator[pa.RecordBatch], budget: int = TRIE_BYTES) -> Iter
                 if rank is not None and (node.data[1] is None or (rank, row) < (node.data[1], node.data[2])):
                     node.data[1:3] = rank, row
             if trie.size > budget:
-                yield from given(prefix)
+                yield from given(text)
     yield from given(None)
 
 
@@ -186,8 +181,10 @@ def exact_groups(df: DataFrame, identifier: str = "doc_id", text: str = "text",
     Texts are equal if identical after lower-casing A-Z; a null counts as empty. Of equal texts,
     the row with the smallest (or keep="largest") identifier stays; a null identifier comes last;
     of repeated rows with that identifier exactly one stays. text_sha is the SHA-256 of the
-    normalised text. Other columns are left out. An empty table gives an empty result.
+    normalised text. A text of any length is held whole. Other columns are left out. An empty table
+    gives an empty result.
     """
+    ship(df.sparkSession)
     if keep not in ("smallest", "largest"):
         raise ValueError("keep is smallest or largest")
     number = F.col(f"`{identifier}`").cast("bigint")
@@ -199,7 +196,8 @@ def exact_groups(df: DataFrame, identifier: str = "doc_id", text: str = "text",
     owners = (
         local.filter("copies is not null")
         .repartition("length", "hash")
-        .sortWithinPartitions("length", "hash")
+        .sortWithinPartitions("text")
+        .select("row", "rank", "grp", "copies", "text", "sha")
         .mapInArrow(_owners, "grp bigint, keep_rank bigint, keep_row bigint, group_size bigint, sha binary")
     )
     rows = local.filter("copies is null").select("row", "rank", "grp")
