@@ -7,12 +7,11 @@
    size is within a bound. Lines that aren't in them never leave their task; without the broadcast
    (beyond the bound) every line counts as suspected, which changes the cost but not the result.
 3. Suspected keys are shuffled for exact confirmation: full keys, counted over distinct documents.
-4. The confirmed keys are broadcast within a bound, otherwise joined by document.
+4. The confirmed keys, in full, are broadcast within a bound, otherwise joined by document.
 """
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -22,10 +21,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vibralake.llm.bloom import CODES, code_batch, sharded
-from vibralake.llm.shared import BLANKS, LOWER, UPPER, chunks, clean_columns, staged
+from vibralake.llm.shared import BLANKS, LOWER, UPPER, chunks, clean_columns, ship, staged
 
-#: Bounds of what is broadcast: bytes of the second filters, and confirmed keys.
-FILTER_BYTES, CONFIRMED_KEYS = 32 << 20, 300_000
+#: Bounds of what is broadcast: bytes of the second filters, confirmed keys and their bytes.
+FILTER_BYTES, CONFIRMED_KEYS, CONFIRMED_BYTES = 32 << 20, 300_000, 24 << 20
 _FOLD = bytes.maketrans(UPPER.encode(), LOWER.encode())
 _BLANKS = BLANKS.encode()
 #: A code point has one byte that isn't a continuation; these are dropped to count code points.
@@ -102,7 +101,7 @@ def dedup_lines(
 
     met = slim.mapInArrow(suspects, "rank bigint, key binary").groupBy("key", "rank").agg(F.lit(1).alias("one"))
     confirmed = staged(
-        met.groupBy("key").agg(F.count("*").alias("n"), F.max("rank").alias("owner")).filter(F.col("n") >= least_docs).select(F.unhex(F.md5("key")).alias("digest"), "owner"),
+        met.groupBy("key").agg(F.count("*").alias("n"), F.max("rank").alias("owner")).filter(F.col("n") >= least_docs).select("key", "owner"),
         "line-keys",
     )
     kinds = dict(work.dtypes)
@@ -120,10 +119,8 @@ def dedup_lines(
                 if gone:
                     kept = []
                     for line, key in zip(lines, line_keys(t), strict=True):
-                        if long_enough(key, least_chars):
-                            digest = hashlib.md5(key, usedforsecurity=False).digest()
-                            if digest in gone and (owners is None or owners[digest] != rank):
-                                continue
+                        if long_enough(key, least_chars) and key in gone and (owners is None or owners[key] != rank):
+                            continue
                         kept.append(line)
                 texts.append("\n".join(kept))
                 counts.append(len(lines))
@@ -133,19 +130,20 @@ def dedup_lines(
                 names=[*batch.schema.names[:at], "text", "n_lines", "n_dropped"],
             )
 
-    if confirmed.count() <= confirmed_keys:
-        owners = spark.sparkContext.broadcast({bytes(r["digest"]): r["owner"] for r in confirmed.toLocalIterator()})
+    size = confirmed.agg(F.count("*").alias("keys"), F.coalesce(F.sum(F.length("key")), F.lit(0)).alias("bytes")).first()
+    if size["keys"] <= confirmed_keys and size["bytes"] <= CONFIRMED_BYTES:
+        owners = spark.sparkContext.broadcast({bytes(r["key"]): r["owner"] for r in confirmed.toLocalIterator()})
         out = work.mapInArrow(lambda batches: cut(batches, owners.value), schema)
     else:
         lost = (
-            met.select("rank", F.unhex(F.md5("key")).alias("digest"))
-            .join(confirmed, "digest")
+            met.select("rank", "key")
+            .join(confirmed, "key")
             .filter(~F.col("rank").eqNullSafe(F.col("owner")))
             .groupBy("rank")
-            .agg(F.collect_set("digest").alias("digests"))
+            .agg(F.collect_set("key").alias("gone"))  # lines of the document itself
         )
         other = lost.withColumnRenamed("rank", "their")
-        both = work.join(other, work["rank"].eqNullSafe(other["their"]), "left").select(*work.columns, "digests")
+        both = work.join(other, work["rank"].eqNullSafe(other["their"]), "left").select(*work.columns, "gone")
         out = both.mapInArrow(lambda batches: cut(batches, None), schema)
     named = [F.col(f"__{i}").alias(c) for i, c in enumerate(columns)]
     return out.select(turned(F.col("rank")).alias(identifier), *named, F.col("text").alias(text), "n_lines", "n_dropped")
