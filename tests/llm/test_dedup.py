@@ -1,4 +1,5 @@
 import hashlib
+import random
 import re
 from collections import defaultdict
 
@@ -102,6 +103,40 @@ def test_windows(docs, rows, empty, limit):
         assert substring.digest(empty).count() == 0
 
 
+def test_hot_anchors_are_dealt_out(spark, docs, rows, monkeypatch):
+    monkeypatch.setattr(substring, "FAIR_ROWS", 2)  # nearly every repeated anchor and phrase is a hot one
+    out = substring.dedup_substrings(docs)
+    same([(r["doc_id"], r["n_words"], r["n_removed"], sha(r["text"])) for r in out.collect()], brute_windows(rows))
+
+
+@pytest.fixture(scope="module")
+def long_rows(spark):
+    """Two texts of over a megabyte that share passages and lines, copies of one in other letters, and short ones."""
+    rng = random.Random(21)
+    lines = [" ".join(f"w{rng.randrange(3000)}" for _ in range(40)) for _ in range(6000)]
+    long = "\n".join(lines)
+    other = "\n".join(rng.sample(lines, 3000) + [f"line {i} with words of its own, and more of them" for i in range(3000)])
+    rows = [(1, long), (2, long.upper()), (3, other), (4, None), (5, ""), *[(10 + i, "\n".join(lines[i : i + 3])) for i in range(5)], (20, "x" * 1_500_000)]
+    return rows, spark.createDataFrame(rows, "doc_id bigint, text string")
+
+
+def test_very_long_texts(long_rows):
+    rows, df = long_rows
+    same([tuple(r) for r in line_dedup.digest(df).collect()], brute_lines(rows))
+    same([tuple(r) for r in substring.digest(df).collect()], brute_windows(rows))
+    same([tuple(r)[:3] for r in ngram_join.digest(df).collect()], brute_components(rows))
+    exact = {r["doc_id"]: r for r in exact_dedup.digest(df).collect()}
+    assert exact[1]["keep_id"] == 2 and exact[1]["group_size"] == 2 and exact[4]["keep_id"] == 5 and exact[20]["text_sha256"] == sha("x" * 1_500_000)
+
+
+def test_a_trie_shares_edges():
+    trie = exact_dedup.Trie()
+    for i in range(50):
+        trie.at(b"a long beginning that all strings have, " * 5 + str(i).encode()).data = [i]
+    assert trie.size < 2 * 200 + 120 * exact_dedup.NODE_BYTES  # the beginning is held once
+    assert len(dict(trie.take())) == 50
+
+
 def test_window_of_exactly_its_length_in_one_text(spark):
     shared = " ".join(f"s{i}" for i in range(35))
     df = spark.createDataFrame([(1, f"a {shared} b {shared} c"), (2, shared[:-1]), (3, None)], "doc_id bigint, text string")

@@ -14,7 +14,12 @@ A document is parsed from left to right into phrases against the indexed blocks
   representative of each repeated phrase under the same anchor, the windows themselves are indexed
   and greedily matched, so factors end exactly where the repetition does.
 
-Phrases and windows are identified by 128-bit hashes, built from 64-bit hashes of words.
+Phrases and windows are identified by 128-bit hashes: two of 64 bits, each built from word hashes of
+its own, so that words that collide in one don't in the other.
+
+An anchor or phrase that a large share of the corpus holds would put all its rows in one task: those
+with more rows than a fair part are dealt out over several, and what they are joined with is copied
+to each of these.
 """
 
 from __future__ import annotations
@@ -24,13 +29,15 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from vibralake.llm.bloom import CODES, code_batch, mixed, sharded
-from vibralake.llm.shared import chunks, clean_columns, row_keys, staged
+from vibralake.llm.shared import chunks, clean_columns, row_keys, ship, staged
 
 WINDOW, ANCHOR = 35, 8
+#: Rows of an anchor or phrase that one task takes whatever the input is.
+FAIR_ROWS = 10_000
 #: Bound in bytes of the broadcast filter of boundary phrases; beyond it, they are joined to documents.
 FILTER_BYTES = 32 << 20
 _WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -46,11 +53,17 @@ def word_hashes(texts: pa.Array, fold: bool = False, separator: np.ndarray = _SE
 
     separator: for each byte, whether it parts words.
     """
+    (hashes,), counts = several_hashes(texts, fold, separator, 1)
+    return hashes, counts
+
+
+def several_hashes(texts: pa.Array, fold: bool, separator: np.ndarray, many: int) -> tuple[list[np.ndarray], np.ndarray]:
+    """So many independent hashes of each word, and the number of words of each text."""
     texts = texts.cast(pa.binary()).fill_null(b"")
     _, offsets, data = texts.buffers()
     offsets = np.frombuffer(offsets, np.int32, len(texts) + 1, texts.offset * 4).astype(np.int64)
     if offsets[0] == offsets[-1]:
-        return np.zeros(0, np.uint64), np.zeros(len(texts), np.int64)
+        return [np.zeros(0, np.uint64)] * many, np.zeros(len(texts), np.int64)
     raw = np.frombuffer(data, np.uint8)[offsets[0] : offsets[-1]]
     offsets -= offsets[0]
     if fold:
@@ -62,15 +75,14 @@ def word_hashes(texts: pa.Array, fold: bool = False, separator: np.ndarray = _SE
     begins[first] = inside[first]
     starts = np.flatnonzero(begins)
     if not len(starts):
-        return np.zeros(0, np.uint64), np.zeros(len(texts), np.int64)
+        return [np.zeros(0, np.uint64)] * many, np.zeros(len(texts), np.int64)
     counts = np.diff(np.searchsorted(starts, offsets))
     letters = np.flatnonzero(inside)
     word = np.cumsum(begins)[letters] - 1
     place = letters - starts[word]
-    factors = mixed(np.arange(place.max() + 1, dtype=np.uint64), 5)
-    terms = (raw[letters].astype(np.uint64) + np.uint64(1)) * factors[place]
     heads = np.searchsorted(letters, starts)
-    return mixed(np.add.reduceat(terms, heads), 7), counts
+    value, places = raw[letters].astype(np.uint64) + np.uint64(1), np.arange(place.max() + 1, dtype=np.uint64)
+    return [mixed(np.add.reduceat(value * mixed(places, 5 + 100 * i)[place], heads), 7 + 100 * i) for i in range(many)], counts
 
 
 class Rolling:
@@ -86,7 +98,7 @@ class Rolling:
         np.multiply.accumulate(powers, out=powers)
         np.multiply.accumulate(self.inverse, out=self.inverse)
         self.sums = np.zeros(n + 1, np.uint64)
-        np.cumsum((mixed(words, 11) if which else words) * powers[:n], out=self.sums[1:])
+        np.cumsum(words * powers[:n], out=self.sums[1:])
         self.which = which
 
     def of(self, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
@@ -97,9 +109,10 @@ class Parsed:
     """Phrases of a chunk of texts: document number, first window in it, number of windows, anchor; hashes on demand."""
 
     def __init__(self, texts: pa.Array, window: int, anchor: int) -> None:
-        words, self.counts = word_hashes(texts)
+        both, self.counts = several_hashes(texts, False, _SEPARATOR, 2)
+        words = both[0]
         self.window = window
-        self.rolling = [Rolling(words, 0), Rolling(words, 1)]
+        self.rolling = [Rolling(w, i) for i, w in enumerate(both)]
         firsts = np.concatenate([[0], np.cumsum(self.counts)])
         doc = np.repeat(np.arange(len(self.counts)), self.counts)
         n = len(words) - window + 1
@@ -138,6 +151,21 @@ def _located(code: np.ndarray, key: np.ndarray, start: np.ndarray) -> np.ndarray
     return mixed(code ^ mixed(key, 17) ^ start.astype(np.uint64) * np.uint64(_BASES[1]), 19)
 
 
+def dealt_join(rows: DataFrame, side: DataFrame, keys: list[str], sizes: DataFrame, total: int) -> DataFrame:
+    """rows (with key_a and start) joined with side by keys; sizes (keys, n) says how many rows a key has.
+
+    Keys with more than limit rows are dealt over parts. They are at most 4 for a shuffle partition.
+    """
+    spark = rows.sparkSession
+    limit = max(FAIR_ROWS, total // (4 * int(spark.conf.get("spark.sql.shuffle.partitions"))))
+    hot = sizes.filter(F.col("n") > limit).select(*keys, F.ceil(F.col("n") / limit).cast("int").alias("parts"))
+    hot = F.broadcast(spark.createDataFrame(hot.collect(), hot.schema))
+    parts = F.coalesce("parts", F.lit(1)).cast("bigint")
+    spread = rows.join(hot, keys, "left").withColumn("part", F.pmod(F.xxhash64("key_a", "start"), parts)).drop("parts")
+    copied = side.join(hot, keys, "left").withColumn("part", F.explode(F.sequence(F.lit(0).cast("bigint"), parts - 1))).drop("parts")
+    return spread.join(copied, [*keys, "part"]).drop("part")
+
+
 def duplicate_spans(work: DataFrame, window: int = WINDOW, anchor: int = ANCHOR, filter_bytes: int = FILTER_BYTES) -> DataFrame:
     """For work (key_a, key_b, text), the spans of words to remove: key_a, key_b, spans array<struct<begin, end>>."""
     spark = work.sparkSession
@@ -158,19 +186,22 @@ def duplicate_spans(work: DataFrame, window: int = WINDOW, anchor: int = ANCHOR,
                 names=["anchor", "code_a", "code_b", "key_a", "key_b", "start", "windows"],
             )
 
-    repeated = work.mapInArrow(anchors, "anchor bigint, n bigint").groupBy("anchor").agg(F.sum("n").alias("n")).filter("n > 1").select("anchor")
+    repeated = staged(work.mapInArrow(anchors, "anchor bigint, n bigint").groupBy("anchor").agg(F.sum("n").alias("n")).filter("n > 1"), "anchors")
     rows = work.mapInArrow(phrases, "anchor bigint, code_a bigint, code_b bigint, key_a bigint, key_b bigint, start int, windows int")
-    index = staged(rows.join(repeated, "anchor"), "phrases")
+    total = repeated.agg(F.sum("n")).first()[0] or 0
+    index = staged(dealt_join(rows, repeated.select("anchor"), ["anchor"], repeated, total), "phrases")
     counted = staged(
         index.groupBy("code_a", "code_b").agg(F.count("*").alias("n"), F.min("anchor").alias("anchor"), F.min(F.struct("key_a", "key_b", "start")).alias("one")),
         "phrase-counts",
     )
-    factors = index.join(counted.filter("n > 1").select("code_a", "code_b"), ["code_a", "code_b"]).select(
+    found = counted.filter("n > 1").select("code_a", "code_b", "n")
+    factors = dealt_join(index, found.drop("n"), ["code_a", "code_b"], found, total).select(
         "key_a", "key_b", F.col("start").alias("begin"), (F.col("start") + F.col("windows") + window - 1).alias("end")
     )
 
-    open_anchors = counted.filter("n = 1").select("anchor").distinct()
-    borders = staged(counted.join(open_anchors, "anchor").select("code_a", "one.key_a", "one.key_b", "one.start"), "borders")
+    phrases_of = staged(counted.groupBy("anchor").agg(F.count("*").alias("n"), F.count_if(F.col("n") == 1).alias("single")).filter("single > 0").select("anchor", "n"), "open-anchors")
+    single = counted.select("anchor", "code_a", "one.key_a", "one.key_b", "one.start")
+    borders = staged(dealt_join(single, phrases_of.select("anchor"), ["anchor"], phrases_of, total).select("code_a", "key_a", "key_b", "start"), "borders")
 
     def codes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -206,7 +237,13 @@ def duplicate_spans(work: DataFrame, window: int = WINDOW, anchor: int = ANCHOR,
     edges = staged(edges, "border-windows")
     twice = edges.groupBy("code_a", "code_b").agg(F.count("*").alias("n")).filter("n > 1").select("code_a", "code_b")
     matched = edges.join(twice, ["code_a", "code_b"]).select("key_a", "key_b", "begin", (F.col("begin") + window).alias("end"))
-    return factors.unionByName(matched).groupBy("key_a", "key_b").agg(F.collect_set(F.struct("begin", "end")).alias("spans"))
+    # Windows and factors that overlap become one span before a document's spans are gathered.
+    own = Window.partitionBy("key_a", "key_b").orderBy("begin", "end")
+    before = F.max("end").over(own.rowsBetween(Window.unboundedPreceding, -1))
+    every = factors.unionByName(matched).withColumn("fresh", (F.col("begin") > F.coalesce(before, F.lit(-1))).cast("int"))
+    every = every.withColumn("island", F.sum("fresh").over(own.rowsBetween(Window.unboundedPreceding, 0)))
+    spans = every.groupBy("key_a", "key_b", "island").agg(F.min("begin").alias("begin"), F.max("end").alias("end"))
+    return spans.groupBy("key_a", "key_b").agg(F.collect_list(F.struct("begin", "end")).alias("spans"))
 
 
 def dedup_substrings(df: DataFrame, identifier: str = "doc_id", text: str = "text", window: int = WINDOW, anchor: int = ANCHOR, filter_bytes: int = FILTER_BYTES) -> DataFrame:
@@ -215,9 +252,10 @@ def dedup_substrings(df: DataFrame, identifier: str = "doc_id", text: str = "tex
     Words are runs of characters other than ASCII white space, unchanged. Each word is removed that
     is covered by a window of consecutive words of one row whose sequence also starts elsewhere, in
     the same row or another; all occurrences go, none is kept. A null or empty text has no words;
-    texts shorter than a window stay; repeated rows are occurrences of their own; an empty table
-    gives an empty result; further columns are left out.
+    texts shorter than a window stay; a text of any length is parsed whole; repeated rows are
+    occurrences of their own; an empty table gives an empty result; further columns are left out.
     """
+    ship(df.sparkSession)
     clean = df.select(F.col(f"`{identifier}`").cast("bigint").alias("doc"), F.coalesce(F.col(f"`{text}`").cast("string"), F.lit("")).alias("text"))
     keyed = clean.select(*row_keys("doc", "text"), "text", "doc")
     spans = duplicate_spans(keyed.select("key_a", "key_b", "text"), window, anchor, filter_bytes)
