@@ -26,7 +26,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vibralake.llm.shared import chunks, clean_columns
+from vibralake.llm.shared import chunks, clean_columns, ship
 
 #: Words and pairs of tokens that a worker keeps, and the length from which a word is not kept.
 KEPT_WORDS, KEPT_PAIRS, LONG_WORD = 450_000, 300_000, 64
@@ -243,7 +243,7 @@ def encode_documents(df: DataFrame, text: str = "text", vocabulary: str | None =
     give equal results; an empty table gives none.
     """
     with open(vocabulary or default_vocabulary(), encoding="utf-8") as file:
-        content = df.sparkSession.sparkContext.broadcast(file.read())
+        content = ship(df.sparkSession).sparkContext.broadcast(file.read())
     work = df.select(*[F.col(f"`{c}`") for c in columns if c.lower() not in (text.lower(), "ids", "decoded")], F.coalesce(F.col(f"`{text}`").cast("string"), F.lit("")).alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

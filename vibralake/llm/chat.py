@@ -7,9 +7,11 @@ Grammar of the output, read by a deterministic parser:
                   | "[ANS] " text " </s>"                     role assistant; text is under the loss mask
                   | "[ROLE] " role "\n" text " [/ROLE]"       any other role
 
-Every turn is first rendered as it is, then parsed again behind the turns before it; while the
-parser doesn't give back exactly the source turn, the content is escaped once more. Escaping puts
-one backslash after the first character of every control string in a text (`[INST]` becomes
+Every turn is first rendered as it is, then parsed again; if the parser doesn't give back exactly the
+source turn, the content is escaped, which always suffices. The parser begins each turn where the one
+before it ended, with no other state, so a turn that is read back alone is read back behind any
+others; reading a conversation back carries the parser's state from turn to turn, and so checks the
+borders too. Escaping puts one backslash after the first character of every control string in a text (`[INST]` becomes
 `[\INST]`, `[\INST]` becomes `[\\INST]`), and the parser takes one away, so it is reversible. No
 control string can arise across a border of text and marker: markers inside a turn begin or end
 with a blank, and no control string holds one.
@@ -27,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vibralake.llm.shared import chunks, clean_columns
+from vibralake.llm.shared import chunks, clean_columns, ship
 
 BEGIN = "<s>"
 #: role: opening and closing marker.
@@ -94,14 +96,14 @@ def parse(segment: str) -> Iterator[tuple[str, str, int, int]]:
 
 def settle(role: str, text: str) -> tuple[str, int, int, int]:
     """The rendered turn that parses to its source, the place of its text, and how often it was escaped."""
-    for level in range(8):
+    for level in range(2):
         segment, begin, end = render(role, text, level)
         try:
             if list(parse(segment)) == [(role, text, begin, end)]:
                 return segment, begin, end, level
         except ParseError:
             pass
-    raise ParseError("no level of escaping round-trips")  # one level always does
+    raise ParseError("escaped content doesn't round-trip")  # it always does
 
 
 def _format(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -129,6 +131,7 @@ def format_conversations(turns: DataFrame) -> DataFrame:
     in order of turn, role, text, nulls first; a null role or text counts as empty; rows without a
     conv_id are one conversation; repeated rows are turns of their own; an empty table gives none.
     """
+    ship(turns.sparkSession)
     clean = clean_columns(turns, conv_id="bigint", turn="bigint", role="string", text="string")
     dealt = clean.repartition("conv_id").sortWithinPartitions("conv_id", "turn", "role", "text")
     return dealt.select("conv_id", "role", "text").mapInArrow(

@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 
 from vibralake.llm.bloom import CODES, code_batch, mixed, sharded
 from vibralake.llm.components import components
-from vibralake.llm.shared import LOWER, UPPER, chunks, clean_columns, row_keys, staged
+from vibralake.llm.shared import LOWER, UPPER, chunks, clean_columns, row_keys, ship, staged
 from vibralake.llm.substring import Rolling, word_hashes
 
 WORDS, PERCENT = 5, 80
@@ -305,9 +305,10 @@ def link_components(
     links, the row's own included; null identifiers count only where there is no other. n_links counts
     the other rows that a row is linked with, those with an equal set included; within a large group
     of near copies that takes all pairs, so leave it out where it isn't needed.
-    Repeated rows have equal sets; an empty table gives none; further columns are left out.
+    Repeated rows have equal sets; a text of any length has all its shingles; an empty table gives
+    none; further columns are left out.
     """
-    spark = df.sparkSession
+    spark = ship(df.sparkSession)
     shards = int(spark.conf.get("spark.sql.shuffle.partitions"))
     clean = df.select(F.col(f"`{identifier}`").cast("bigint").alias("doc"), F.coalesce(F.col(f"`{text}`").cast("string"), F.lit("")).alias("text"))
     work = clean.select(*row_keys("doc", "text"), "doc", "text")
