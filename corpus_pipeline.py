@@ -16,6 +16,8 @@ from vibralake.llm.shared import staged, table
 
 #: Documents to drop that are broadcast at most, 16 bytes each.
 BROADCAST_ROWS = 1_000_000
+#: Power to which the ratios of the good domains' totals are raised.
+POWER = 0.7
 COLUMNS = {"doc_id": "bigint", "text": "string", "lang": "string", "source": "string", "n_chars": "bigint"}
 
 
@@ -26,7 +28,7 @@ def _documents(df: DataFrame) -> DataFrame:
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the classifier rejects go; null texts become empty ones."""
+    """Documents that the classifier rejects go; null texts become empty ones; clashing columns are left out."""
     docs = _documents(docs)
     judged = quality.classify(docs, table(spark, sf_dir, "labels"), columns=("lang", "source", "n_chars"))
     return _documents(judged.filter("kept"))
@@ -56,20 +58,24 @@ def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mix_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document is used as often as its rate says, rounded.
+    """Each document is used as often as its rate says: the rate's floor, and once more by a draw on doc_id.
 
-    The targets are the good domains' own totals and none for the others, so good documents have
-    rates near 1 and stay, and what the classifier finds toxic or poor goes.
+    Good domains smaller than the largest are raised to a share of (their own)**POWER beside it, and
+    the others get nothing. Documents whose likeliest domain is a good one stay, with a rate of 1 or
+    more; what the classifier finds toxic or poor goes. Further columns named like the results clash
+    with nothing, as they are left out; null and empty texts follow their likeliest domain beforehand.
     """
     docs = _documents(docs)
-    rated = mixing.mix(docs, table(spark, sf_dir, "labels"), columns=("lang", "source", "n_chars"), power=1.0)
-    uses = F.round("rate").cast("int")
-    repeated = rated.filter(uses > 0).withColumn("use", F.explode(F.sequence(F.lit(1), uses)))
-    return _documents(repeated)
+    rated = mixing.mix(docs, table(spark, sf_dir, "labels"), columns=("lang", "source", "n_chars"), aim=lambda own: mixing.raised(own, POWER), keep_wanted=True)
+    used = rated.withColumn("uses", mixing.uses_of(F.col("rate"), "doc_id")).filter("uses > 0")
+    return _documents(used.withColumn("use", F.explode(F.sequence(F.lit(1), "uses"))))
 
 
 def encode_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """What is left, encoded: doc_id, lang, source, n_tokens, ids (packed little-endian 32-bit integers)."""
+    """What is left, encoded: doc_id, lang, source, n_tokens, ids (packed little-endian 32-bit integers).
+
+    A null text is an empty one and has no ids; clashing columns are left out.
+    """
     made = bpe.encode_documents(_documents(docs), columns=("doc_id", "lang", "source"))
     return made.select("doc_id", "lang", "source", (F.length("ids") / 4).cast("bigint").alias("n_tokens"), "ids")
 
