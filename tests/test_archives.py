@@ -80,7 +80,7 @@ def test_members_and_status(spark, root):
         archives.read_members(spark, root, mode="other")
 
 
-def test_bare_files(spark, tmp_path):
+def test_bare_files(spark, tmp_path, caplog):
     (tmp_path / "S").mkdir()
     (tmp_path / "S" / "b_1_S_2024010100.bin").write_bytes(raw(np.arange(5.0)) + b"xyz")
     path = str(tmp_path / "S")
@@ -88,6 +88,9 @@ def test_bare_files(spark, tmp_path):
     rows = archives.waveforms(archives.read_members(spark, path, pattern="*.bin", bins=True)).collect()
     assert len(rows) == 1 and rows[0]["n_records"] == 5 and rows[0]["sensor_id"] == "S"
     assert archives.find_bins(spark, path).count() == 1
+    with caplog.at_level("WARNING"):
+        archives.decode_bin_file(spark, path, check=True)
+    assert "63 bytes are no whole number of records" in caplog.text and "too_few_records" in caplog.text
 
 
 def test_features_of_the_library(spark, root):
@@ -110,18 +113,60 @@ def test_whole_run_and_resume(spark, root, tmp_path):
     static = spark.read.parquet(f"{target}/static_features")
     assert {r[0] for r in dynamic.select("sensor_id").distinct().collect()} == {"DNA1", "gnss2"}
     assert {r[0] for r in static.select("sensor_id").distinct().collect()} == {"DNAGW1", "gnss1"}
-    assert {r[0] for r in spark.read.parquet(f"{target}/failed").select("sensor_id").collect()} == {"DNA2", "DNA3"}
+    assert {r[0] for r in spark.read.parquet(f"{target}/failed_sensors").select("sensor_id").collect()} == {"DNA2", "DNA3"}
     first = dynamic.filter("sensor_id = 'DNA1'").orderBy("time").collect()
     assert len(first) == 4 and all(np.isclose(r["1st_mode"], 5, atol=0.06) and np.isclose(r["2nd_mode"], 12, atol=0.06) and r["is_valid"] and r["noise_level"] is None for r in first)
     assert dynamic.filter("sensor_id = 'gnss2'").count() == 2  # two files of an hour are two rows
     assert static.filter("sensor_id = 'DNAGW1'").orderBy("time").first()["mean"] == 20.0
-    trend = spark.read.parquet(f"{target}/trend")
+    trend = spark.read.parquet(f"{target}/freq_trend")
     assert trend.filter("freq <= 0").count() == 0
     titles = {r["sensor_id"]: r for r in spark.read.parquet(f"{target}/titles").collect()}
     assert titles["DNA1"]["start"] == "2024-01-01 00:00" and titles["DNA1"]["end"] == "2024-01-01 03:00"
-    again = pipeline.process(spark, root, target)
-    assert not {"DNA1", "gnss1"} & {r["path"].split("/")[-2] for r in again.select("path").distinct().collect()}
-    assert spark.read.parquet(f"{target}/dynamic_features").count() == dynamic.count()
+    status = spark.read.parquet(f"{target}/status")
+    assert status.count() == 25 and status.filter("not ok").count() == 5
+
+
+@pytest.mark.parametrize("format", ["parquet", "csv"])
+def test_resume_keeps_what_is_finished_and_reads_only_new_files(spark, tmp_path, format):
+    top, target = tmp_path / "upload", str(tmp_path / "out")
+    names = ["waveforms", "status", "modes", "avg_spectrum", "freq_trend", "titles", "finished", "static_features", "dynamic_features"]
+
+    def rows(name):
+        reader = spark.read.option("header", "true").format(format if "features" in name else "parquet")
+        return sorted(map(str, reader.load(f"{target}/{name}").collect()))
+
+    def sensor(name, tones):
+        for h in range(2):
+            put(top / name, f"b_1_{name}_202401010{h}.zip", {f"b_1_{name}_202401010{h}.bin": raw(signal(tones, seed=h), HOUR + h * 3600_000)})
+
+    sensor("DNA1", [(5, 1), (12, 1)])
+    put(top / "GW1", "b_1_GW1_2024010100.zip", {"b_1_GW1_2024010100.bin": raw(np.full(30, 20.0))})
+    put(top / "DNA9", "b_1_DNA9_2024010100.zip", {"b_1_DNA9_2024010100.bin": raw(np.full(30, 20.0))})  # fails
+    pipeline.process(spark, str(top), target, format)
+    first = {n: rows(n) for n in names}
+    for path in (top / "DNA1").iterdir():
+        path.write_bytes(b"opened again")
+    sensor("DNA2", [(7, 1)])
+    status = pipeline.process(spark, str(top), target, format)
+    assert {r["path"].split("/")[-2] for r in status.collect()} == {"DNA2", "DNA9"} and status.filter("not ok").count() == 0
+    for n in names:
+        again = rows(n)
+        assert set(first[n]) <= set(again), n
+        if n != "static_features":
+            assert len(again) > len(first[n]), n
+    assert [r[0] for r in spark.read.parquet(f"{target}/failed_sensors").select("sensor_id").collect()] == ["DNA9"]
+    sensor("DNA3", [(6, 1)])
+    one = pipeline.process(spark, str(top), target, format, max_files=2)  # the first by path
+    assert sorted(r["path"].rsplit("/", 1)[1] for r in one.collect()) == ["b_1_DNA3_2024010100.zip", "b_1_DNA3_2024010101.zip"]
+    assert not any("DNA3" in r for r in rows("finished"))
+
+
+def test_max_files_opens_no_other(spark, tmp_path, monkeypatch):
+    for h in range(4):
+        put(tmp_path / "S[1]", f"b_1_S_202401010{h}.zip", {f"b_1_S_202401010{h}.bin": raw(np.ones(3))})
+    members = archives.read_members(spark, str(tmp_path), max_files=2)
+    assert len(members.inputFiles()) == 2 and members.count() == 2
+    assert archives.read_members(spark, str(tmp_path), pattern="*.none", recursive=False, max_files=2).count() == 0
 
 
 def test_csv_sink(spark, tmp_path):

@@ -9,6 +9,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from vibralake.session import ship
+
 RECORD = np.dtype([("t", ">i8"), ("v", ">f4")])
 #: Milliseconds that fit a 64-bit count of nanoseconds.
 MOST_MS = (1 << 63) // 1_000_000
@@ -32,9 +34,8 @@ def encode(times: np.ndarray, values: np.ndarray) -> bytes:
 
 
 def encode_rows(df: DataFrame, time: str, value: str) -> DataFrame:
-    """df's rows with `record`: the 12 bytes of a row, encoded by Arrow batch.
-
-    """
+    """df's rows with `record`: the 12 bytes of a row, encoded by Arrow batch."""
+    ship(df.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -51,6 +52,7 @@ def encode_rows(df: DataFrame, time: str, value: str) -> DataFrame:
 
 def decode_rows(df: DataFrame, column: str = "record") -> DataFrame:
     """Rows (other columns, seq, t_ms, value) of every record in a binary column."""
+    ship(df.sparkSession)
     keep = [c for c in df.columns if c != column]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 
 from vibralake.operators.peaks import half_widths, local_peaks, prominences
 from vibralake.schemas import GRID_HIGH, GRID_LOW, GRID_POINTS
+from vibralake.session import ship
 
 #: Wanted numbers of peaks, adjustments at most, their factors, the threshold that gives up.
 LEAST_PEAKS, MOST_PEAKS, ADJUSTMENTS, RAISE, LOWER, GIVE_UP = 1, 5, 15, 1.5, 0.7, 1e-6
@@ -101,6 +102,7 @@ def identify_modes(spectra: DataFrame) -> DataFrame:
 
     A group is one sensor's grid, so its size is fixed.
     """
+    ship(spectra.sparkSession)
 
     def run(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         found = modes_of(rows.sort_values("k")["mean"].to_numpy(np.float64))

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from vibralake.operators.modes import MODES
 from vibralake.operators.spectrum import amplitude
 from vibralake.operators.validate import tracking_valid
+from vibralake.session import ship
 
 _NUMBERS = ("ptp", "mean", "std", "rms")
 
@@ -34,6 +35,7 @@ def track(waveforms: DataFrame, modes: DataFrame) -> DataFrame:
 
     Every waveform gives a row: several of the same hour aren't joined. noise_level is always null.
     """
+    ship(waveforms.sparkSession)
     joined = waveforms.select("time", "sensor_id", "v").join(bands_of(modes), "sensor_id").select("time", "sensor_id", "bands", "v")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import logging
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -11,13 +11,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vibralake.functions.names import classify_sensor, hour_title, parse_file_name
+from vibralake.functions.names import classify_sensor, hour_title, parse_file_name, sensor_dir
 from vibralake.operators.features import waveform_noise, waveform_statistics
 from vibralake.operators.modes import identify_modes
 from vibralake.operators.spectrum import average_spectrum, fft_amplitude, natural_frequencies
 from vibralake.operators.tracking import frequency_trend, track
 from vibralake.operators.validate import check_waveform
-from vibralake.schemas import DYNAMIC_COLUMNS, STATIC_COLUMNS
+from vibralake.schemas import DYNAMIC_COLUMNS, STATIC_COLUMNS, STATUS
+from vibralake.session import ship
 from vibralake.sources import archives, sinks
 
 log = logging.getLogger(__name__)
@@ -47,6 +48,8 @@ def extract_features(waveforms: DataFrame, sensor_type: str = "acceleration", op
     sensor_id, t_ms, v.
     """
 
+    ship(waveforms.sparkSession)
+
     def features(t: np.ndarray, v: np.ndarray) -> dict:
         if sensor_type not in ("acceleration", "static"):
             raise ValueError(f"unknown sensor type {sensor_type}")
@@ -110,8 +113,8 @@ class Result:
     titles: DataFrame
 
 
-def analyse(waveforms: DataFrame) -> Result:
-    """Static and acceleration features of decoded waveforms.
+def analyse(waveforms: DataFrame, keep: Callable[[DataFrame, str], DataFrame] = lambda df, _: df) -> Result:
+    """Static and acceleration features of decoded waveforms. keep may store what several results are made of (avg_spectrum, modes, dynamic_features).
 
     Acceleration and unknown sensors go through the two passes; unknown ones without modes become
     static, acceleration ones without modes are failed. One NaN sample makes a sensor's mean
@@ -120,10 +123,10 @@ def analyse(waveforms: DataFrame) -> Result:
     typed = waveforms.withColumn("kind", classify_sensor(F.col("sensor_dir")))
     moving = typed.filter("kind <> 'static'").select("path", "kind", F.col("sensor_dir").alias("sensor_id"), F.col("hour").alias("time"), "v")
     spectra = fft_amplitude(moving.select("sensor_id", "v"), grid=True)
-    average = average_spectrum(spectra)
-    modes = identify_modes(average)
+    average = keep(average_spectrum(spectra), "avg_spectrum")
+    modes = keep(identify_modes(average), "modes")
     found = modes.select("sensor_id").distinct()
-    dynamic = track(moving, modes).select(*[F.col(f"`{c}`") for c in DYNAMIC_COLUMNS])
+    dynamic = keep(track(moving, modes).select(*[F.col(f"`{c}`") for c in DYNAMIC_COLUMNS]), "dynamic_features")
     missing = typed.filter("kind <> 'static'").join(found, typed["sensor_dir"] == found["sensor_id"], "left_anti")
     still = typed.filter("kind = 'static'").unionByName(missing.filter("kind = 'unknown'"))
     failed = missing.filter("kind = 'acceleration'").select(F.col("sensor_dir").alias("sensor_id"), F.lit("no modes were found").alias("reason")).distinct()
@@ -134,23 +137,50 @@ def analyse(waveforms: DataFrame) -> Result:
 
 
 def process(spark: SparkSession, root: str, target: str, format: str = "parquet", max_files: int | None = None) -> DataFrame:
-    """Run over all sensors below root that target doesn't have yet; returns the ingest status.
+    """Run over all sensors below root that target doesn't have yet; returns the run's ingest status.
 
-    Decoded waveforms are written once, then both passes read them. target gets status, waveforms,
-    static_features, dynamic_features, modes, avg_spectrum, freq_trend, failed_sensors and titles.
+    Finished sensors are known from the table `finished`, which is written last, and their files
+    aren't opened. target gets status, waveforms, static_features, dynamic_features (in the format
+    given), modes, avg_spectrum, freq_trend and titles, all partitioned by sensor, so those of
+    sensors that were finished before stay; and failed_sensors, which a run writes anew, as failed
+    sensors are taken up again. A run that dies leaves no mark, and its sensors are done again.
     """
-    members = archives.read_members(spark, f"{root.rstrip('/')}/*", recursive=False, max_files=max_files)
-    done = sinks.finished_sensors(spark, f"{target}/static_features").union(sinks.finished_sensors(spark, f"{target}/dynamic_features"))
-    names = members.withColumn("sensor_dir", F.get(F.split("path", "/"), F.size(F.split("path", "/")) - 2))
-    names = names.join(done.select(F.col("sensor_id").alias("sensor_dir")), "sensor_dir", "left_anti")
-    names.write.mode("overwrite").parquet(f"{target}/members")
-    members = spark.read.parquet(f"{target}/members")
+    files = archives.sensor_folders(archives.find_archives(spark, f"{root.rstrip('/')}/*", recursive=False))
+    pending = sinks.pending(files.select("path", F.col("sensor_dir").alias("sensor_id")), sinks.finished_sensors(spark, f"{target}/finished"))
+    if max_files:
+        pending = pending.orderBy("path").limit(max_files)
+    chosen = pending.groupBy("sensor_id").agg(F.collect_list("path").alias("paths") if max_files else F.min("path").alias("path")).collect()  # a row a sensor
+    sensors = sorted(r["sensor_id"] for r in chosen)
+    if not sensors:
+        return spark.createDataFrame([], STATUS)
+    paths = sorted(p for r in chosen for p in r["paths"]) if max_files else sorted(r["path"].rsplit("/", 1)[0] for r in chosen)
+    members = archives.read_members(spark, [archives._literal(p) for p in paths], recursive=False)
+    members = members.withColumn("sensor_id", sensor_dir(F.col("path")))
+    sinks.write_sensors(members, f"{target}/waveforms")  # decoded once, then both passes read it
+    members = sinks.read_sensors(spark, f"{target}/waveforms", members.schema, sensors)
     status = archives.ingest_status(members)
-    result = analyse(archives.waveforms(members))
-    result.modes.write.mode("overwrite").parquet(f"{target}/modes")
-    for name, table in (("static_features", result.static), ("dynamic_features", result.dynamic)):
-        sinks.write_features(table, f"{target}/{name}", format)
-    for name in ("average", "trend", "failed", "titles"):
-        getattr(result, name).write.mode("overwrite").parquet(f"{target}/{name}")
-    log.info("wrote %s", target)
-    return status
+    sinks.write_sensors(status.withColumn("sensor_id", sensor_dir(F.col("path"))), f"{target}/status")
+    counts = archives.ingest_statistics(status).first()
+    log.info("%d sensors: %s", len(sensors), counts.asDict())
+
+    def keep(rows: DataFrame, name: str) -> DataFrame:
+        if name == "dynamic_features":
+            sinks.write_features(rows, f"{target}/{name}", format)
+            if format != "parquet":
+                return rows
+        else:
+            sinks.write_sensors(rows, f"{target}/{name}")
+        return sinks.read_sensors(spark, f"{target}/{name}", rows.schema, sensors).select(*[F.col(f"`{c}`") for c in rows.columns])
+
+    result = analyse(archives.waveforms(members.drop("sensor_id")), keep)
+    sinks.write_features(result.static, f"{target}/static_features", format)
+    sinks.write_sensors(result.trend, f"{target}/freq_trend", ("time", "mode_no"))
+    sinks.write_sensors(result.titles, f"{target}/titles")
+    result.failed.write.mode("overwrite").parquet(f"{target}/failed_sensors")
+    failed = spark.read.schema(result.failed.schema).parquet(f"{target}/failed_sensors")
+    done = spark.createDataFrame([(s,) for s in sensors], "sensor_id string").join(failed, "sensor_id", "left_anti")
+    if max_files is None:  # a sensor of which some files were left out isn't finished
+        sinks.write_sensors(done.select("sensor_id", F.lit(counts["processed_bins"]).alias("members_of_run")), f"{target}/finished")
+    for row in failed.collect():  # a row a sensor
+        log.warning("%s failed: %s", row["sensor_id"], row["reason"])
+    return sinks.read_sensors(spark, f"{target}/status", f"{STATUS}, sensor_id string", sensors).drop("sensor_id")

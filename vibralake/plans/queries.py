@@ -131,7 +131,7 @@ def ingest_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def pending_series(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Resume: days of sensors that have no purchase above 480 yet, by an anti-join."""
+    """Resume: days of sensors that have no value above 489 yet, by an anti-join."""
     rows = _series(spark, sf_dir)
     done = rows.filter("value > 489").select("sensor_id").distinct()
     return sinks.pending(rows, done).groupBy("sensor_id").agg(F.count("*").alias("rows"))

@@ -8,6 +8,8 @@ files go on. Archives are never extracted to disk and never deleted.
 from __future__ import annotations
 
 import io
+import logging
+import re
 import zipfile
 from collections.abc import Iterator
 
@@ -17,13 +19,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vibralake.functions.names import file_name, parse_file_name, sensor_dir
-from vibralake.operators.decode import decode
+from vibralake.operators.decode import RECORD, decode
+from vibralake.operators.validate import check_waveform
 from vibralake.session import ship
 
+log = logging.getLogger(__name__)
+
 MODES = ("stream", "extract_delete", "temp_dir")
 
 
-def _files(spark: SparkSession, root: str, pattern: str, recursive: bool) -> DataFrame:
+def _files(spark: SparkSession, root: str | list[str], pattern: str, recursive: bool) -> DataFrame:
     reader = spark.read.format("binaryFile").option("pathGlobFilter", pattern)
     return reader.option("recursiveFileLookup", str(recursive).lower()).load(root)
 
@@ -105,23 +110,30 @@ def file_name_of(path: str) -> str:
     return path.rsplit("/", 1)[-1]
 
 
-def read_members(spark: SparkSession, root: str, recursive: bool = True, pattern: str = "*.zip", max_files: int | None = None, mode: str = "stream", bins: bool = False) -> DataFrame:
+def read_members(spark: SparkSession, root: str | list[str], recursive: bool = True, pattern: str = "*.zip", max_files: int | None = None, mode: str = "stream", bins: bool = False) -> DataFrame:
     """One row for each member (or failed archive): path, member, file_size, ok, error, n_records, t_ms, v.
 
     mode is checked and otherwise without effect: archives are always read in memory. max_files
-    takes the first so many archives by path.
+    takes the first so many archives by path: they are chosen from the catalog, and no other is opened.
     """
     if mode not in MODES:
         raise ValueError(f"mode must be one of {MODES}")
     ship(spark)
-    files = _files(spark, root, pattern if bins or not recursive else "*.zip", recursive)
-    files = sensor_folders(files).select("path", "content")
+    suffix = pattern if bins or not recursive else "*.zip"
     if max_files:
-        first = files.select("path").orderBy("path").limit(max_files)
-        files = files.join(F.broadcast(first), "path", "left_semi") if max_files <= 100_000 else files.join(first, "path", "left_semi")
+        first = sensor_folders(_files(spark, root, suffix, recursive).select("path")).select("path").orderBy("path").limit(max_files)
+        root = [_literal(r["path"]) for r in first.collect()]
+        if not root:
+            return spark.createDataFrame([], _ROW)
+    files = sensor_folders(_files(spark, root, suffix, recursive)).select("path", "content")
     return files.mapInArrow(_from_bins if bins else _from_archives, _ROW)
 
 
+def _literal(path: str) -> str:
+    """A path whose characters stand for themselves where patterns are read."""
+    return re.sub(r"([\\{}\[\]*?])", r"\\\1", path)
+
+
 def waveforms(members: DataFrame) -> DataFrame:
     """Decoded members with at least one record and a valid name: see schemas.WAVEFORM. The name is the member's."""
     rows = members.filter("ok and n_records > 0").withColumn("p", parse_file_name(F.col("member"))).filter("p.error is null")
@@ -181,9 +193,16 @@ def disk_usage(files: DataFrame, length: str = "length", expansion: float = 3.0)
     )
 
 
-def decode_bin_file(spark: SparkSession, path: str) -> DataFrame:
-    """seq, t_ms, value of one bare file; errors are raised, a missing file is an error."""
+def decode_bin_file(spark: SparkSession, path: str, check: bool = False) -> DataFrame:
+    """seq, t_ms, value of one bare file; errors are raised, a missing file is an error.
+
+    A size that isn't a multiple of a record's is warned of in the log, and the rest is ignored.
+    check=True also warns of what the validity rules find (a pass over the file of its own).
+    """
     ship(spark)
+    file = spark.read.format("binaryFile").load(path)
+    for row in file.select("path", "length").filter(F.col("length") % RECORD.itemsize != 0).collect():  # the files named
+        log.warning("%s: %d bytes are no whole number of records of %d bytes", row["path"], row["length"], RECORD.itemsize)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -191,4 +210,18 @@ def decode_bin_file(spark: SparkSession, path: str) -> DataFrame:
                 t, v = decode(content)
                 yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(t))), pa.array(t), pa.array(v)], names=["seq", "t_ms", "value"])
 
-    return spark.read.format("binaryFile").load(path).select("content").mapInArrow(run, "seq bigint, t_ms bigint, value float")
+    if check:
+        for row in checked_bins(file.select("path", "content")).filter("found <> ''").collect():
+            log.warning("%s: %s", row["path"], row["found"])
+    return file.select("content").mapInArrow(run, "seq bigint, t_ms bigint, value float")
+
+
+def checked_bins(files: DataFrame) -> DataFrame:
+    """path and found, the issues and warnings of each bare file (path, content), joined by commas."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [",".join(x for part in check_waveform(*decode(c)) for x in part) for c in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.string())], names=["path", "found"])
+
+    return files.mapInArrow(run, "path string, found string")

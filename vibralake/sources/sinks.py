@@ -7,6 +7,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+def write_sensors(rows: DataFrame, target: str, sort: tuple[str, ...] = ()) -> None:
+    """Replace the Parquet partitions of the sensors (sensor_id) in rows; those of other sensors stay."""
+    dealt = rows.repartition("sensor_id").sortWithinPartitions("sensor_id", *sort) if sort else rows
+    dealt.write.mode("overwrite").partitionBy("sensor_id").option("partitionOverwriteMode", "dynamic").parquet(target)
+
+
+def read_sensors(spark: SparkSession, target: str, schema: str, sensors: list[str] | None = None) -> DataFrame:
+    """A table of write_sensors, with only these sensors' partitions read if they are given."""
+    rows = spark.read.schema(schema).parquet(target)
+    return rows if sensors is None else rows.filter(F.col("sensor_id").isin(sensors))
+
+
 def finished_sensors(spark: SparkSession, target: str) -> DataFrame:
     """sensor_id of sensors that a table already has; none if there is no table."""
     try:
