@@ -32,25 +32,26 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from vibralake.llm.bloom import mixed
 from vibralake.llm.shared import chunks, clean_columns, row_keys, ship, staged
 
-ORDER, BITS = 6, 8
+ORDER, BITS = 5, 8
 #: Quantile of the trusted rows' perplexity, share of trusted rows that calibrate (one in so many),
 #: symbols of prior, rows and symbols that the whole corpus weighs in a language's quantile and mean.
 QUANTILE, FOLDS, PRIOR, SHRINK, SHRINK_SYMBOLS = 0.995, 5, 60, 30, 2000
 #: Units of a log-probability and of a step of log-perplexity.
 UNIT, STEP = 1 << 24, 1 << 16
 #: Bytes of text handled at once: a symbol takes some ten times eight bytes.
-CHUNK = 1 << 20
+CHUNK = 1 << 19
+#: Symbols looked up at once.
+PIECE = 1 << 18
 #: Bounds of what is broadcast: scored n-grams, trusted identifiers.
 SCORED_GRAMS, TRUSTED_ROWS = 3_000_000, 1_000_000
 #: Symbols: bytes stand for themselves (digits as 0, white space as a blank); 0 is the start of a text.
-_SYMBOL = np.arange(256, dtype=np.int64)
+_SYMBOL = np.arange(256, dtype=np.uint8)
 _SYMBOL[0] = 1
 _SYMBOL[0x30:0x3A] = 0x30
 _SYMBOL[0x09:0x0E] = 0x20
@@ -59,15 +60,23 @@ _SYMBOL[0x09:0x0E] = 0x20
 def grams(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The n-gram that ends at each symbol of the texts, and the number of symbols of each text."""
     texts = texts.cast(pa.binary()).fill_null(b"")
-    sizes = pc.binary_length(texts).to_numpy(zero_copy_only=False).astype(np.int64)
-    symbols = _SYMBOL[np.frombuffer(b"".join(texts.to_pylist()), np.uint8)]
-    places = np.arange(len(symbols)) + (ORDER - 1) * (np.repeat(np.arange(len(sizes)), sizes) + 1)
-    padded = np.zeros(len(symbols) + (ORDER - 1) * len(sizes), np.int64)
-    padded[places] = symbols
-    code = np.zeros(len(symbols), np.int64)
+    _, offsets, data = texts.buffers()
+    ends = np.frombuffer(offsets, np.int32, len(texts) + 1, texts.offset * 4).astype(np.int64) if len(texts) else np.zeros(1, np.int64)
+    sizes = np.diff(ends)
+    if ends[0] == ends[-1]:
+        return np.zeros(0, np.int64), sizes
+    symbols = _SYMBOL[np.frombuffer(data, np.uint8)[ends[0] : ends[-1]]]
+    inside = np.ones(len(symbols) + (ORDER - 1) * len(sizes), bool)  # each text behind ORDER - 1 starts
+    begins = ends[:-1] - ends[0] + (ORDER - 1) * np.arange(len(sizes))
+    for i in range(ORDER - 1):
+        inside[begins + i] = False
+    padded = np.zeros(len(inside), np.uint8)
+    padded[inside] = symbols
+    code = np.zeros(len(padded), np.int64)
     for back in range(ORDER - 1, -1, -1):
-        code = (code << BITS) | padded[places - back]
-    return code, sizes
+        code <<= BITS
+        code[back:] |= padded[: len(padded) - back]
+    return code[inside], sizes
 
 
 def _low(order: int) -> int:
@@ -97,7 +106,7 @@ class Lookup:
     """Values by 64-bit key: open addressing, probed for whole arrays at once."""
 
     def __init__(self, keys: np.ndarray, values: np.ndarray) -> None:
-        self.mask = (1 << max(4, int(len(keys) * 2).bit_length())) - 1
+        self.mask = (1 << max(4, (len(keys) * 3 // 2).bit_length())) - 1
         self.keys, self.values = np.full(self.mask + 1, -1, np.int64), np.zeros(self.mask + 1, np.int32)
         at, left = self._first(keys), np.arange(len(keys))
         while len(left):
@@ -112,6 +121,10 @@ class Lookup:
         return (mixed(keys.view(np.uint64), 3) & np.uint64(self.mask)).astype(np.int64)
 
     def of(self, keys: np.ndarray) -> np.ndarray:
+        parts = [self._of(keys[i : i + PIECE]) for i in range(0, len(keys), PIECE)]
+        return np.concatenate(parts) if parts else np.zeros(0, np.int32)
+
+    def _of(self, keys: np.ndarray) -> np.ndarray:
         at = self._first(keys)
         missing = np.flatnonzero(self.keys[at] != keys)
         while len(missing):
