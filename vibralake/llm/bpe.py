@@ -26,10 +26,10 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vibralake.llm.shared import chunks, clean_columns, ship
+from vibralake.llm.shared import CHUNK_BYTES, chunks, clean_columns, ship
 
 #: Words and pairs of tokens that a worker keeps, and the length from which a word is not kept.
-KEPT_WORDS, KEPT_PAIRS, LONG_WORD = 450_000, 300_000, 64
+KEPT_WORDS, KEPT_PAIRS, LONG_WORD = 300_000, 300_000, 48
 #: How the file's ByteLevel splitter cuts text before merging, with the classes of Unicode
 #: 16.0, the version of the library's splitter: the letters and numbers that Unicode 15.1 doesn't have,
 #: and the white space. Versions of the classes differ in what lies from U+0500 on.
@@ -58,14 +58,20 @@ def _ranges(points: set[int]) -> str:
 @cache
 def _exact() -> tuple[re.Pattern, re.Pattern]:
     """The splitter with its classes spelled out, and what the fast splitter (another Unicode version) classes otherwise."""
-    every = [chr(c) for c in range(sys.maxunicode + 1) if not 0xD800 <= c < 0xE000]
     wrong: set[int] = set()
-    classes = {}
+    own: dict[str, set[int]] = {"L": set(), "N": set()}
     for kind, fixed in (("L", LETTERS_16), ("N", NUMBERS_16)):
-        bounds = [part.partition("-") for part in fixed.split()]
-        own = {ord(c) for c in every if unicodedata.category(c)[0] == kind} | {c for a, _, b in bounds for c in range(int(a, 16), int(b or a, 16) + 1)}
-        wrong |= own ^ set(map(ord, regex.findall(rf"\p{{{kind}}}", "".join(every))))
-        classes[kind] = _ranges(own)
+        for first, _, last in (part.partition("-") for part in fixed.split()):
+            own[kind].update(range(int(first, 16), int(last or first, 16) + 1))
+    for start in range(0, sys.maxunicode + 1, 4096):
+        if 0xD800 <= start < 0xE000:
+            continue
+        points = range(start, start + 4096)
+        text = "".join(map(chr, points))
+        for kind, found in own.items():
+            found.update(c for c in points if unicodedata.category(chr(c))[0] == kind)
+            wrong |= found.intersection(points) ^ set(map(ord, regex.findall(rf"\p{{{kind}}}", text)))
+    classes = {kind: _ranges(found) for kind, found in own.items()}
     return re.compile(PATTERN.format(S=SPACE, **classes)), re.compile(f"[{_ranges(wrong)}]" if wrong else r"(?!)")
 
 
@@ -248,7 +254,7 @@ def encode_documents(df: DataFrame, text: str = "text", vocabulary: str | None =
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocab = _loaded(content.value)
-        for batch in chunks(batches):
+        for batch in chunks(batches, limit=2 * CHUNK_BYTES):
             encoded = vocab.encode_batch(batch.column(batch.num_columns - 1).to_pylist())
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns[:-1], pa.array(encoded, pa.binary()), pa.array(map(vocab.decode, encoded), pa.string())],

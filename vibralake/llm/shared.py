@@ -16,8 +16,8 @@ from pyspark.sql import functions as F
 
 from vibralake.session import ship
 
-#: Bytes of text that a Python worker handles at once; one longer document is handled alone.
-CHUNK_BYTES = 2 << 20
+#: Bytes of text that a Python worker handles at once (arrays take some fifty bytes for each); one longer document is handled alone.
+CHUNK_BYTES = 1 << 20
 #: Spark drops shuffle files, broadcasts and plans that nothing needs any more when the driver collects
 #: garbage, which a driver with few objects seldom does: after so many staged tables we ask for it.
 TIDY_AFTER = 4

@@ -81,8 +81,15 @@ def several_hashes(texts: pa.Array, fold: bool, separator: np.ndarray, many: int
     word = np.cumsum(begins)[letters] - 1
     place = letters - starts[word]
     heads = np.searchsorted(letters, starts)
-    value, places = raw[letters].astype(np.uint64) + np.uint64(1), np.arange(place.max() + 1, dtype=np.uint64)
-    return [mixed(np.add.reduceat(value * mixed(places, 5 + 100 * i)[place], heads), 7 + 100 * i) for i in range(many)], counts
+    values = raw[letters]
+    places = np.arange(place.max() + 1, dtype=np.uint64)
+    del inside, begins, word, letters
+    out = []
+    for i in range(many):
+        terms = mixed(places, 5 + 100 * i)[place]
+        terms *= values + np.uint64(1)
+        out.append(mixed(np.add.reduceat(terms, heads), 7 + 100 * i))
+    return out, counts
 
 
 class Rolling:
