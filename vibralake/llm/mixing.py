@@ -44,6 +44,8 @@ BUCKETS, LEAST_BUCKETS, ENTRIES, BLOCK, SMOOTHING, TEMPERATURE, LEAST_POSTERIOR
 RIDGE, STEPS, TOLERANCE = 2e-3, 1000, 2e-6
 #: Gap of a domain's total, as a part of its share or target, from which on a warning is given.
 MISSED = 0.02
+#: Entries of counts that wait at least before they are summed.
+WAITING = 1 << 19
 #: Labelled identifiers that are broadcast at most; with more, the labelled table is joined by shuffle.
 LABELLED_ROWS = 1_000_000
 _PARTS = np.zeros(256, bool)
@@ -102,14 +104,18 @@ def fit_classifier(labelled: DataFrame, domains: list[str]) -> Model:
     block = min(BLOCK, buckets)
 
     def local(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        code, many, rows = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(size, np.int64)
+        rows = np.zeros(size, np.int64)
+        found = [(np.zeros(0, np.int64), np.zeros(0, np.int64))]  # what is summed already comes first
+        waiting = 0
         for batch in chunks(batches):
             at = batch.column(0).to_numpy().astype(np.int64)
             fresh = [np.repeat(at, counts) * buckets + code_ for code_, counts in features(batch.column(1), buckets)[0]]
-            found, n = np.unique(np.concatenate(fresh), return_counts=True)
-            code, back = np.unique(np.concatenate([code, found]), return_inverse=True)
-            many = np.bincount(back, weights=np.concatenate([many, n]), minlength=len(code)).astype(np.int64)
+            found.append(np.unique(np.concatenate(fresh), return_counts=True))
             rows += np.bincount(at, minlength=size)
+            waiting += len(found[-1][0])
+            if waiting > max(WAITING, len(found[0][0])):
+                found, waiting = [_summed(found)], 0
+        code, many = _summed(found)
         heads = np.flatnonzero(np.concatenate([[True], code[1:] // block != code[:-1] // block])) if len(code) else np.zeros(0, np.int64)
         packed = zip(np.split(code % block, heads[1:]), np.split(many, heads[1:]), strict=True) if len(code) else ()
         made = [np.concatenate([c, n]).tobytes() for c, n in packed]
@@ -140,6 +146,15 @@ def fit_classifier(labelled: DataFrame, domains: list[str]) -> Model:
     return Model(counts, rows)
 
 
+def _summed(found: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct codes in order and the sums of their counts."""
+    code, many = (np.concatenate(x) for x in zip(*found, strict=True))
+    order = np.argsort(code, kind="stable")
+    code, many = code[order], many[order]
+    heads = np.flatnonzero(np.concatenate([[True], code[1:] != code[:-1]])) if len(code) else np.zeros(0, np.int64)
+    return code[heads], np.add.reduceat(many, heads) if len(heads) else many
+
+
 def _sums(blocks: list[int], counts: list[bytes]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(blocks, pa.int32()), pa.array(counts, pa.binary())], names=["block", "counts"])
 
@@ -158,12 +173,19 @@ def packed_posteriors(p: np.ndarray) -> list[bytes]:
 
 def dense_posteriors(packed: pa.Array, domains: int) -> Iterator[tuple[int, np.ndarray]]:
     """Where a piece of the rows begins, and its posteriors as a matrix of bounded size."""
+    if not len(packed):
+        return
+    packed = packed.cast(pa.binary())
+    _, offsets, data = packed.buffers()
+    offsets = np.frombuffer(offsets, np.int32, len(packed) + 1, packed.offset * 4)
+    pairs = np.frombuffer(data, _PAIR, (int(offsets[-1]) - int(offsets[0])) // _PAIR.itemsize, int(offsets[0]))
+    ends = (offsets - offsets[0]) // _PAIR.itemsize
     step = max(1, (1 << 20) // max(domains, 1))
     for start in range(0, len(packed), step):
-        rows = [np.frombuffer(x, _PAIR) for x in packed.slice(start, step).to_pylist()]
-        p = np.zeros((len(rows), domains))
-        pairs = np.concatenate(rows)
-        p[np.repeat(np.arange(len(rows)), [len(x) for x in rows]), pairs["domain"]] = pairs["p"]
+        at = ends[start : start + step + 1]
+        p = np.zeros((len(at) - 1, domains))
+        here = pairs[at[0] : at[-1]]
+        p[np.repeat(np.arange(len(p)), np.diff(at)), here["domain"]] = here["p"]
         yield start, p
 
 
