@@ -15,14 +15,17 @@
    c_k is the larger of the domain's share and its target, so a domain's rates don't depend on how
    much of the corpus it is: with target 0, documents that are all its own get ridge/(1 + ridge).
    A document's rate follows from its posterior and the gradients of all steps so far, which are
-   a few numbers a step. So a step is one pass over (tokens, posterior) that replays the steps and
-   sums the totals; no rates are kept between steps, and a lost executor loses nothing. The length of
+   a few numbers a step. So a step is one pass over (tokens, posterior) that replays steps and sums
+   the totals; a lost executor loses nothing. Documents are packed into blocks for that, a row for
+   thousands of them, and every REPLAYED steps the blocks are written again with the rates reached,
+   so that the passes' work grows with the steps and not with their square. The length of
    a step comes from the domains' shares, which bound the curvature: the scaled matrix of moments has
    no eigenvalue above its largest row sum.
 """
 
 from __future__ import annotations
 
+import math
 import warnings
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
@@ -42,6 +45,8 @@ BUCKETS, LEAST_BUCKETS, ENTRIES, BLOCK, SMOOTHING, TEMPERATURE, LEAST_POSTERIOR
 #: Weight of staying at rate 1; steps at most (a step takes 1 - sqrt(ridge) of the error or less, so the fit ends long before);
 #: the largest change of a domain's total by a step, as a part of its share or target, that ends the fit.
 RIDGE, STEPS, TOLERANCE = 2e-3, 1000, 2e-6
+#: Steps that a pass replays at most; then the rates reached are written with the blocks.
+REPLAYED = 16
 #: Gap of a domain's total, as a part of its share or target, from which on a warning is given.
 MISSED = 0.02
 #: Entries of counts that wait at least before they are summed.
@@ -171,17 +176,19 @@ def packed_posteriors(p: np.ndarray) -> list[bytes]:
     return [x.tobytes() for x in np.split(pairs, ends[:-1])] if len(p) else []
 
 
-def dense_posteriors(packed: pa.Array, domains: int) -> Iterator[tuple[int, np.ndarray]]:
-    """Where a piece of the rows begins, and its posteriors as a matrix of bounded size."""
-    if not len(packed):
-        return
+def _unpacked(packed: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Where each row's pairs begin, with the end of the last one's, and all pairs."""
     packed = packed.cast(pa.binary())
     _, offsets, data = packed.buffers()
     offsets = np.frombuffer(offsets, np.int32, len(packed) + 1, packed.offset * 4)
     pairs = np.frombuffer(data, _PAIR, (int(offsets[-1]) - int(offsets[0])) // _PAIR.itemsize, int(offsets[0]))
-    ends = (offsets - offsets[0]) // _PAIR.itemsize
+    return (offsets - offsets[0]) // _PAIR.itemsize, pairs
+
+
+def _dense(ends: np.ndarray, pairs: np.ndarray, domains: int) -> Iterator[tuple[int, np.ndarray]]:
+    """Where a piece of the rows begins, and its posteriors as a matrix of bounded size."""
     step = max(1, (1 << 20) // max(domains, 1))
-    for start in range(0, len(packed), step):
+    for start in range(0, len(ends) - 1, step):
         at = ends[start : start + step + 1]
         p = np.zeros((len(at) - 1, domains))
         here = pairs[at[0] : at[-1]]
@@ -189,6 +196,12 @@ def dense_posteriors(packed: pa.Array, domains: int) -> Iterator[tuple[int, np.n
         yield start, p
 
 
+def dense_posteriors(packed: pa.Array, domains: int) -> Iterator[tuple[int, np.ndarray]]:
+    """As _dense(), from the rows' packed posteriors."""
+    if len(packed):
+        yield from _dense(*_unpacked(packed), domains)
+
+
 @dataclass(frozen=True)
 class Bounds:
     """The least rate; and, if domains are wanted or not by their targets, 1 at least for documents likeliest in a wanted one, 0 for others."""
@@ -203,16 +216,66 @@ class Bounds:
         return np.where(good, max(1.0, self.least), 0.0), np.where(good, np.inf, 0.0)
 
 
-def replayed(posterior: np.ndarray, gaps: list[np.ndarray], steps: list[float], size: float, ridge: float, bounds: Bounds) -> tuple[np.ndarray, np.ndarray]:
-    """Rates after the steps that the gradients in gaps and the momenta in steps describe, and how far the last step took them."""
+def _walked(posterior: np.ndarray, gaps: list[np.ndarray], steps: list[float], size: float, ridge: float, bounds: Bounds, begin: tuple[np.ndarray, np.ndarray] | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """From rates of 1, or from a point and rates reached before: the next point, the rates, and how far the last step took them."""
     low, high = bounds.of(posterior)
-    rate = look = np.clip(np.ones(len(posterior)), low, high)
+    look, rate = begin if begin else 2 * (np.clip(np.ones(len(posterior)), low, high),)
     moved = np.zeros(len(posterior))
     for gap, momentum in zip(gaps, steps, strict=True):
         new = np.clip(look - size * (posterior @ gap + ridge * (look - 1)), low, high)
         moved = np.abs(new - look)
         look, rate = new + momentum * (new - rate), new
-    return rate, moved
+    return look, rate, moved
+
+
+def replayed(posterior: np.ndarray, gaps: list[np.ndarray], steps: list[float], size: float, ridge: float, bounds: Bounds) -> tuple[np.ndarray, np.ndarray]:
+    """Rates after the steps that the gradients in gaps and the momenta in steps describe, and how far the last step took them."""
+    return _walked(posterior, gaps, steps, size, ridge, bounds)[1:]
+
+
+#: A block holds the documents of one Arrow batch: tokens, where their pairs begin, the pairs; the point and rates reached (none before the first step).
+_BLOCKS = "tokens binary, ends binary, pairs binary, look binary, rate binary"
+
+
+def _binary(rows: list[tuple[bytes, ...]], names: str) -> pa.RecordBatch:
+    columns = [pa.array([row[i] for row in rows], pa.binary()) for i in range(len(names.split()))]
+    return pa.RecordBatch.from_arrays(columns, names=names.split())
+
+
+def _blocks(members: DataFrame) -> DataFrame:
+    """Blocks of members (tokens, posterior packed), staged."""
+
+    def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                ends, pairs = _unpacked(batch.column(1))
+                tokens = batch.column(0).to_numpy().astype(np.float64)
+                yield _binary([(tokens.tobytes(), ends.astype(np.int64).tobytes(), pairs.tobytes(), b"", b"")], "tokens ends pairs look rate")
+
+    return staged(members.mapInArrow(packed, _BLOCKS), "blocks")
+
+
+def _pieces(batch: pa.RecordBatch, domains: int) -> Iterator[tuple[int, np.ndarray, np.ndarray, tuple[np.ndarray, np.ndarray] | None]]:
+    """For the blocks of a batch: number of the block in it, tokens, posteriors as a matrix, point and rates."""
+    for i, (tokens, ends, pairs, look, rate) in enumerate(zip(*(c.to_pylist() for c in batch.columns), strict=True)):
+        tokens, look, rate = (np.frombuffer(x) for x in (tokens, look, rate))
+        for start, p in _dense(np.frombuffer(ends, np.int64), np.frombuffer(pairs, _PAIR), domains):
+            here = slice(start, start + len(p))
+            yield i, tokens[here], p, (look[here], rate[here]) if len(look) else None
+
+
+def _added(parts: DataFrame, tasks: int, length: int) -> np.ndarray:
+    """The sum of rows of doubles, one from each of so many tasks: summed by about as many tasks as the root of that, then here."""
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = np.zeros(length)
+        for batch in batches:
+            for row in batch.column(0).to_pylist():
+                held += np.frombuffer(row)
+        yield _binary([(held.tobytes(),)], "v")
+
+    some = parts.repartition(max(1, math.isqrt(tasks))).mapInArrow(add, "v binary")
+    return sum((np.frombuffer(r["v"]) for r in some.collect()), np.zeros(length))
 
 
 def fit_rates(members: DataFrame, shares: np.ndarray, targets: np.ndarray, total: float, ridge: float = RIDGE, bounds: Bounds = Bounds(), most_steps: int = STEPS, tolerance: float = TOLERANCE, scale: np.ndarray | None = None):
@@ -224,28 +287,44 @@ def fit_rates(members: DataFrame, shares: np.ndarray, targets: np.ndarray, total
     domains = len(shares)
     scale = np.ones(domains) if scale is None else scale
 
-    def totals(gaps: list[np.ndarray], steps: list[float], size: float) -> tuple[np.ndarray, np.ndarray]:
-        """Each domain's share under the rates, and how far the last step took it."""
+    blocks = _blocks(members)
+    tasks = blocks.rdd.getNumPartitions()
+
+    def totals(done: int) -> tuple[np.ndarray, np.ndarray]:
+        """Each domain's share under the rates, and how far the last step took it; the blocks hold the rates after so many steps."""
+        past, momenta = gaps[done:], steps[done:]
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             sums = np.zeros((2, domains))
             for batch in batches:
-                tokens = batch.column(0).to_numpy()
-                for start, p in dense_posteriors(batch.column(1), domains):
-                    sums += (tokens[start : start + len(p)] * np.stack(replayed(p, gaps, steps, size, ridge, bounds))) @ p
-            yield pa.RecordBatch.from_arrays([pa.array(range(2 * domains), pa.int32()), pa.array(sums.ravel())], names=["k", "v"])
-
-        out = np.zeros(2 * domains)
-        for row in members.select("tokens", "posterior").mapInArrow(run, "k int, v double").groupBy("k").agg(F.sum("v").alias("v")).collect():
-            out[row["k"]] = row["v"]
-        shares, moved = out.reshape(2, domains) / max(total, 1.0)
+                for _, tokens, p, begin in _pieces(batch, domains):
+                    sums += (tokens * np.stack(_walked(p, past, momenta, size, ridge, bounds, begin)[1:])) @ p
+            yield _binary([(sums.tobytes(),)], "v")
+
+        shares, moved = _added(blocks.mapInArrow(run, "v binary"), tasks, 2 * domains).reshape(2, domains) / max(total, 1.0)
         return shares, moved
 
+    def written(done: int) -> DataFrame:
+        """The blocks with the rates after all steps so far."""
+        past, momenta = gaps[done:], steps[done:]
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                reached: list[list[np.ndarray]] = [[] for _ in range(batch.num_rows)]
+                for i, _, p, begin in _pieces(batch, domains):
+                    reached[i].append(np.stack(_walked(p, past, momenta, size, ridge, bounds, begin)[:2]))
+                rows = [np.concatenate(x, axis=1) for x in reached]
+                made = _binary([(x[0].tobytes(), x[1].tobytes()) for x in rows], "look rate")
+                yield pa.RecordBatch.from_arrays([*batch.columns[:3], *made.columns], names=batch.schema.names)
+
+        return staged(blocks.mapInArrow(run, _BLOCKS), "blocks")
+
     steepest = float((shares / scale).max(initial=0.0))
     size = 1.0 / (steepest + ridge) if steepest + ridge > 0 else 1.0
     gaps: list[np.ndarray] = []
     steps: list[float] = []
-    before = now = totals(gaps, steps, size)[0]
+    done = 0
+    before = now = totals(done)[0]
     slow = (ridge * size) ** 0.5
     t, momentum, most = 1.0, 0.0, (1 - slow) / (1 + slow)  # with this bound the error falls by a fixed part in a step
     for _ in range(most_steps):
@@ -254,9 +333,11 @@ def fit_rates(members: DataFrame, shares: np.ndarray, targets: np.ndarray, total
         after = (1 + np.sqrt(1 + 4 * t * t)) / 2
         momentum, t = min((t - 1) / after, most), after
         steps.append(momentum)
-        before, (now, moved) = now, totals(gaps, steps, size)
+        before, (now, moved) = now, totals(done)
         if (moved / scale).max(initial=0.0) <= tolerance:
             break
+        if len(steps) - done >= REPLAYED:
+            blocks, done = written(done), len(steps)
     else:
         if tolerance:
             warnings.warn(f"rates still move by {(moved / scale).max():.1e} of a domain after {most_steps} steps", stacklevel=2)
@@ -352,7 +433,6 @@ def mix(
     rows = staged(work.mapInArrow(judged, f"{slim}, tokens bigint, posterior binary"), "members")
     members = rows.select("tokens", "posterior")
     size = len(domains)
-    expected = np.zeros(size)
 
     def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = np.zeros(size)
@@ -360,10 +440,9 @@ def mix(
             tokens = batch.column(0).to_numpy()
             for start, p in dense_posteriors(batch.column(1), size):
                 held += tokens[start : start + len(p)] @ p
-        yield pa.RecordBatch.from_arrays([pa.array(range(size), pa.int32()), pa.array(held)], names=["k", "v"])
+        yield _binary([(held.tobytes(),)], "v")
 
-    for row in members.mapInArrow(sums, "k int, v double").groupBy("k").agg(F.sum("v").alias("v")).collect():
-        expected[row["k"]] = row["v"]
+    expected = _added(members.mapInArrow(sums, "v binary"), members.rdd.getNumPartitions(), size)
     total = float(expected.sum())
     shares = dict(zip(domains, (expected / max(total, 1.0)).tolist(), strict=True))
     wanted = targets if targets is not None else aim(shares) if aim else tempered(shares, power)
