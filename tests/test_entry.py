@@ -44,3 +44,28 @@ def test_runs(spark, name):
 def test_entry(spark):
     assert entry.entry(spark).count() > 0
     assert set(entry.oracle_sql()) <= set(entry.queries())
+
+
+@pytest.mark.parametrize("name", ["validate_data", "validate_file", "tracking_validity"])
+def test_validation_equals_sql_on_odd_rows(spark, tmp_path, name):
+    """Gaps and values halfway between two decimals, NaN beside values out of range, infinities, nulls."""
+    series = {
+        "down": ([0, 12_125], ["100.125", "-1000.125"]),
+        "up": ([0, 12_375], ["100.375", "0"]),
+        "odd": ([0, 625], ["200.625", "1e18"]),
+        "near": ([0, 5], ["1.005", "1001.005"]),
+        "some": ([0, 10_000, 20_000], ["nan", "-250.5", "1"]),
+        "none": ([0, 10_000], ["nan", "nan"]),
+        "inf": ([0, 10_000], ["inf", "-inf"]),
+        "null": ([0, 0], [None, None]),
+        "one": ([0], ["101"]),
+    }
+    flat = [(key, t, v) for key, (ts, vs) in series.items() for t, v in zip(ts, vs, strict=True)]
+    con = duckdb.connect()
+    con.execute("CREATE TABLE events (event_id BIGINT, ts TIMESTAMP, event_type VARCHAR, value DOUBLE)")
+    con.executemany("INSERT INTO events VALUES (?, make_timestamp(1704067200000000 + ?), ?, ?::DOUBLE)", [(i, t, key, v) for i, (key, t, v) in enumerate(flat)])
+    con.execute(f"COPY events TO '{tmp_path}/events.parquet' (FORMAT parquet)")
+    out = plans.QUERIES[name](spark, str(tmp_path))
+    wanted = con.sql(plans.SQL[name]).select(*[f'"{c}"' for c in out.columns]).fetchall()
+    assert len(wanted) == len(series)
+    assert sorted(map(tuple, out.collect()), key=str) == sorted(wanted, key=str)

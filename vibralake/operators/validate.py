@@ -53,7 +53,7 @@ def guarded(aggregate: Column, v: Column) -> Column:
 def series_facts(df: DataFrame, keys: list[str], time: str, value: str, order: list[str]) -> DataFrame:
     """What the rules need to know of each series of long rows: one window over the series, one aggregation on the same keys.
 
-    Columns: keys, n, gap_ms, all_finite, low, high, in_order, n_times.
+    Columns: keys, n, gap_ms, all_finite, low, high, in_order, n_times. NaN is above all other values in low and high.
     """
     by = Window.partitionBy(*keys).orderBy(*order)
     millis = (F.unix_micros(F.col(time).cast("timestamp")) / 1000).alias("ms")
@@ -63,8 +63,8 @@ def series_facts(df: DataFrame, keys: list[str], time: str, value: str, order: l
         F.count("*").alias("n"),
         F.max(F.when(F.col("place") == 2, F.col("step"))).alias("gap_ms"),
         F.bool_and(finite(F.col("v"))).alias("all_finite"),
-        guarded(F.min("v"), F.col("v")).alias("low"),
-        guarded(F.max("v"), F.col("v")).alias("high"),
+        F.min("v").alias("low"),
+        F.max("v").alias("high"),
         F.coalesce(F.bool_and(F.col("step") >= 0), F.lit(True)).alias("in_order"),
         F.countDistinct("ms").alias("n_times"),
     )
@@ -74,14 +74,23 @@ def _flags(rules: dict[str, Column]) -> Column:
     return F.array_compact(F.array(*[F.when(rule, F.lit(name) if isinstance(name, str) else name) for name, rule in rules.items()]))
 
 
+def printed(template: str, *numbers: Column) -> Column:
+    """The template filled as C's printf does: exact values, ties to even, nan and inf. (Java rounds ties up: 0.125 to 0.13.)"""
+
+    def fill(*values: float | None) -> str | None:
+        return None if None in values else template % values
+
+    return F.udf(fill, "string")(*numbers)
+
+
 def data_quality(facts: DataFrame) -> DataFrame:
     """facts with issues, warnings (arrays of names) and is_valid."""
     n, gap, low, high = (F.col(c) for c in ("n", "gap_ms", "low", "high"))
     issues = {"empty_data": n == 0, "zero_time_delta": gap == 0, "non_finite_values": ~F.col("all_finite"), "time_not_sorted": ~F.col("in_order")}
     named = [
         F.when(n > MANY_RECORDS, "too_many_records").when(n < FEW_RECORDS, "too_few_records"),
-        F.when((gap != 0) & ((gap < 9) | (gap > 11)), F.format_string("abnormal_time_delta_%.2fms", gap)),
-        F.when((low < -VALUE_BOUND) | (high > VALUE_BOUND), F.format_string("out_of_range_[%.2f,%.2f]", low, high)),
+        F.when((gap != 0) & ((gap < 9) | (gap > 11)), printed("abnormal_time_delta_%.2fms", gap)),
+        F.when((low < -VALUE_BOUND) | (high > VALUE_BOUND), printed("out_of_range_[%.2f,%.2f]", low, high)),
         F.when(F.col("n_times") < n, "duplicate_timestamps"),
     ]
     out = facts.withColumns({"issues": _flags(issues), "warnings": F.array_compact(F.array(*named))})
