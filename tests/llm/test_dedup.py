@@ -7,7 +7,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from vibralake.llm import exact_dedup, line_dedup, ngram_join, substring
+from vibralake.llm import exact_dedup, line_dedup, ngram_join, shared, substring
 
 FOLD = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -175,3 +175,20 @@ def test_components(docs, rows, empty, limit):
     assert all((r["n_links"] > 0) == (sum(x["component_id"] == r["component_id"] for x in out) > 1) for r in out if r["doc_id"] is not None and r["n_shingles"] > 5 and r["doc_id"] not in (36, 42))
     if limit:
         assert ngram_join.digest(empty).count() == 0
+
+
+def test_filters_beyond_their_bound_drop_the_same_columns(spark, monkeypatch):
+    """However little is broadcast at once, columns of one row are dropped, and no table stays that isn't read again."""
+    rows = [(i, " ".join(f"w{i % 90}-{j}" for j in range(40)) + f" end{i}") for i in range(100)] + [(1000, None), (1001, "")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    staged, kept = ngram_join.staged, []
+    monkeypatch.setattr(ngram_join, "staged", lambda df, name: kept.append((name, (out := staged(df, name)).count())) or out)
+    made = []
+    for limit in (1 << 20, 0):
+        kept.clear()
+        shared.drop_staged(spark)
+        out = ngram_join.link_components(docs, filter_bytes=limit, links=False)
+        same([tuple(r) for r in out.collect()], brute_components(rows))
+        made.append((sum(n for name, n in kept if name == "entries"), len(spark.sparkContext._vibralake_staged)))
+    every = next(n for name, n in kept if name == "prefixes")
+    assert made[0] == made[1] and made[1][0] < 0.4 * every and made[1][1] <= 8

@@ -6,9 +6,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark import Broadcast
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
-from vibralake.llm.shared import staged
+from vibralake.llm.shared import dropped, staged, tidy
 
 
 def mixed(x: np.ndarray, seed: int) -> np.ndarray:
@@ -69,16 +71,13 @@ class Sharded:
         return hit
 
 
-def sharded(codes: DataFrame, repeated: bool, limit: int, name: str):
-    """Broadcast filters of codes, or None where they are larger than limit bytes.
+def _built(codes: DataFrame, repeated: bool, name: str) -> DataFrame:
+    """Staged filters (shard, layer, bits) of codes: shard int, code bigint, twice boolean, with shard = code modulo spark.sql.shuffle.partitions.
 
-    codes: shard int, code bigint, twice boolean, with shard = code modulo spark.sql.shuffle.partitions.
     repeated=True keeps two filters for a shard, of codes seen once and of codes seen twice (or with
     twice set), and gives the second; otherwise one filter of all codes. The task of a shard holds
-    its filters only; what comes to the driver is bounded by limit.
+    its filters only.
     """
-    spark = codes.sparkSession
-    shards = int(spark.conf.get("spark.sql.shuffle.partitions"))
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         once: dict[int, Bloom] = {}
@@ -103,13 +102,46 @@ def sharded(codes: DataFrame, repeated: bool, limit: int, name: str):
             for i, layer in enumerate(filter_.layers):
                 yield pa.RecordBatch.from_arrays([pa.array([s], pa.int32()), pa.array([i], pa.int32()), pa.array([layer.tobytes()], pa.binary())], names=["shard", "layer", "bits"])
 
-    made = staged(codes.repartition("shard").mapInArrow(build, "shard int, layer int, bits binary"), name)
-    if made.selectExpr("coalesce(sum(length(bits)), 0) AS n").first()["n"] > limit:
-        return None
+    return staged(codes.repartition("shard").mapInArrow(build, "shard int, layer int, bits binary"), name)
+
+
+def _gathered(made: DataFrame, shards: int) -> Broadcast:
     layers: dict[int, list[np.ndarray]] = {}
     for row in made.orderBy("shard", "layer").toLocalIterator():
         layers.setdefault(row["shard"], []).append(np.frombuffer(row["bits"], np.uint8))
-    return spark.sparkContext.broadcast(Sharded(shards, layers))
+    return made.sparkSession.sparkContext.broadcast(Sharded(shards, layers))
+
+
+def sharded(codes: DataFrame, repeated: bool, limit: int, name: str) -> Broadcast | None:
+    """Broadcast filters of codes (as for _built), or None where they are larger than limit bytes, so what comes to the driver is bounded."""
+    shards = int(codes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    made = _built(codes, repeated, name)
+    if made.selectExpr("coalesce(sum(length(bits)), 0) AS n").first()["n"] > limit:
+        return None
+    return _gathered(made, shards)
+
+
+def in_turns(codes: DataFrame, repeated: bool, limit: int, name: str) -> Iterator[tuple[Broadcast, int, int, bool]]:
+    """Broadcast filters of codes (as for _built) for one run of shards after another: filters, first shard, last, whether they are all.
+
+    Each run has limit bytes at most, or one shard. Codes whose shard is in no run are in no filter.
+    """
+    shards = int(codes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    made = _built(codes, repeated, name)
+    tidy(made.sparkSession)
+    runs: list[list[int]] = [[0, -1, 0]]
+    for row in made.groupBy("shard").agg(F.sum(F.length("bits")).alias("n")).orderBy("shard").collect():
+        if runs[-1][2] and runs[-1][2] + row["n"] > limit:
+            runs.append([row["shard"], row["shard"], 0])
+        runs[-1][1:] = row["shard"], runs[-1][2] + row["n"]
+    for low, high, _ in runs:
+        yield _gathered(made.filter(F.col("shard").between(low, high)), shards), low, high, len(runs) == 1
+    dropped(made)
+
+
+def shard_of(code: str, shards: int) -> Column:
+    """The shard of a code in a bigint column, whose bits are unsigned."""
+    return F.pmod(F.pmod(F.col(code), F.lit(shards)) + F.when(F.col(code) < 0, (1 << 64) % shards).otherwise(0), F.lit(shards))
 
 
 def code_batch(codes: np.ndarray, twice: np.ndarray, shards: int) -> pa.RecordBatch:

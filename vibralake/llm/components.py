@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vibralake.llm.shared import staged
+from vibralake.llm.shared import dropped, staged
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -22,7 +22,8 @@ def components(edges: DataFrame) -> DataFrame:
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("m", "u").alias("m"))
         large = both.filter("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         small = large.join(large.groupBy("u").agg(F.min("v").alias("m")), "u")
-        current = staged(small.select("u", F.col("m").alias("v")).union(small.filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))).distinct(), "edges")
+        last, current = current, staged(small.select("u", F.col("m").alias("v")).union(small.filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))).distinct(), "edges")
+        dropped(last)
         after = tuple(current.agg(F.count("*"), F.sum(F.hash("u", "v").cast("bigint")), F.bit_xor(F.xxhash64("u", "v"))).first())
         if after == before:
             return current.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(

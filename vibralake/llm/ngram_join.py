@@ -7,8 +7,8 @@ the start); columns are shingles. Size-derived bounds decide what is multiplied:
   ordered from rare to frequent (by a count sketch of fixed size, ties by hash), the pair's first
   common column at places p, q allows at most min(x-p, y-q); so only a prefix of each row takes
   part, and an entry only meets rows within its bounds of size.
-* Columns with one entry are dropped by sharded Bloom filters (within a bound of their size; beyond
-  it, all prefix entries take part).
+* Columns with one entry are dropped by sharded Bloom filters: those of as many shards as fit a bound
+  are broadcast at once, and entries are read once for each such run of shards.
 
 The product is then taken in two rounds, so that a large group of near copies never emits all pairs:
 in the first, each row is multiplied with the most central row of its columns only (a star), and
@@ -19,20 +19,24 @@ from the full rows. No pair of different components that could reach the thresho
 So components are exact, but pairs inside of one aren't all multiplied. Links, where they are asked
 for, are counted afterwards: a component's rows are dealt into blocks of bounded size, and each
 block is multiplied with itself and the others of its component, over the full rows.
+
+Staged tables and the shuffle files behind them are deleted as soon as nothing reads them any more.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from vibralake.llm.bloom import CODES, code_batch, mixed, sharded
+from vibralake.llm.bloom import CODES, code_batch, in_turns, mixed, shard_of
 from vibralake.llm.components import components
-from vibralake.llm.shared import LOWER, UPPER, chunks, clean_columns, row_keys, ship, staged
+from vibralake.llm.shared import LOWER, UPPER, chunks, clean_columns, dropped, row_keys, ship, staged
 from vibralake.llm.substring import Rolling, word_hashes
 
 WORDS, PERCENT = 5, 80
@@ -83,13 +87,23 @@ def _batch(arrays: list[pa.Array], names: str) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(arrays, names=names.split())
 
 
+def _held(known: Broadcast) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Rows whose first column is a code in the filters."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(pa.array(known.value.has(batch.column(0).to_numpy().view(np.uint64))))
+
+    return run
+
+
 def _within(n: Column, place: Column, m: Column, percent: int) -> Column:
     """Whether a row of size m can be linked with one of size n whose first common column is at place."""
     return (100 * m >= percent * n) & (percent * m <= (100 + percent) * (n - place) - percent * n)
 
 
 def _linked(pairs: DataFrame, nodes: DataFrame, work: DataFrame, words: int, percent: int, filter_bytes: int) -> DataFrame:
-    """Of pairs (a1, a2, b1, b2), those whose overlap, counted over the full rows, reaches the threshold."""
+    """Of pairs (a1, a2, b1, b2), a staged table, those whose overlap, counted over the full rows, reaches the threshold; pairs is deleted."""
     spark = work.sparkSession
     shards = int(spark.conf.get("spark.sql.shuffle.partitions"))
     hubs = pairs.groupBy("b1", "b2").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("parts"))
@@ -104,16 +118,16 @@ def _linked(pairs: DataFrame, nodes: DataFrame, work: DataFrame, words: int, per
             made = np.unique(batch.column(0).to_numpy().view(np.uint64))
             yield code_batch(made, np.zeros(len(made), bool), shards)
 
-    known = sharded(wanted.select("key_a").mapInArrow(codes, CODES), False, filter_bytes, "wanted-filters")
-    texts = work.select("key_a", "key_b", "text")
-    if known is not None:
-
-        def some(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                yield batch.filter(pa.array(known.value.has(batch.column(0).to_numpy().view(np.uint64))))
-
-        texts = texts.mapInArrow(some, "key_a bigint, key_b bigint, text string")
-    texts = texts.dropDuplicates(["key_a", "key_b"])
+    own = work.select("key_a", "key_b", "text")
+    found, turns = [], []
+    for known, low, high, every in in_turns(wanted.select("key_a").mapInArrow(codes, CODES), False, filter_bytes, "wanted-filters"):
+        mine = own if every else own.filter(shard_of("key_a", shards).between(low, high))
+        found.append(mine.mapInArrow(_held(known), "key_a bigint, key_b bigint, text string").dropDuplicates(["key_a", "key_b"]))
+        if not every:
+            found[-1] = staged(found[-1], "texts")
+            turns.append(found[-1])
+            known.destroy()
+    texts = reduce(DataFrame.unionByName, found)
 
     def full(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in chunks(batches):
@@ -140,7 +154,9 @@ def _linked(pairs: DataFrame, nodes: DataFrame, work: DataFrame, words: int, per
     sets = wanted.join(texts, ["key_a", "key_b"]).select("b1", "b2", "part", "role", "a1", "a2", "text")
     sets = sets.mapInArrow(full, "b1 bigint, b2 bigint, part int, role int, a1 bigint, a2 bigint, codes binary")
     order = ["b1", "b2", "part"]
-    return staged(sets.repartition(*order).sortWithinPartitions(*order, "role").mapInArrow(counted, "a1 bigint, a2 bigint, b1 bigint, b2 bigint"), "links")
+    links = staged(sets.repartition(*order).sortWithinPartitions(*order, "role").mapInArrow(counted, "a1 bigint, a2 bigint, b1 bigint, b2 bigint"), "links")
+    dropped(wanted, pairs, *turns)
+    return links
 
 
 def _blocks(index: DataFrame, percent: int) -> DataFrame:
@@ -362,13 +378,13 @@ def link_components(
             found, counts = np.unique(code[fresh], return_counts=True)
             yield code_batch(found, counts > 1, shards)
 
-    known = sharded(every.select("code", "n1").mapInArrow(columns, CODES), True, filter_bytes, "columns")
-
-    def shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            yield batch.filter(pa.array(known.value.has(batch.column(0).to_numpy().view(np.uint64))))
-
-    index = staged((every if known is None else every.mapInArrow(shared, entry)).distinct(), "entries")
+    parts = []
+    for known, low, high, whole in in_turns(every.select("code", "n1").mapInArrow(columns, CODES), True, filter_bytes, "columns"):
+        mine = every if whole else every.filter(shard_of("code", shards).between(low, high))
+        parts.append(staged(mine.mapInArrow(_held(known), entry).distinct(), "entries"))
+        known.destroy()
+    dropped(every)
+    index = reduce(DataFrame.unionByName, parts)
     nodes = staged(docs.filter("size > 0").groupBy("n1", "n2").agg(F.min("doc").alias("least"), F.count("*").alias("copies"), F.first("size").alias("n"), F.min(F.struct("key_a", "key_b")).alias("key")).select("n1", "n2", "least", "copies", "n", "key.*"), "nodes")
 
     top = index.groupBy("code").agg(F.min(F.struct("place", "size", "n1", "n2")).alias("top"), F.count("*").alias("m")).filter("m > 1").select("code", "top")
@@ -388,10 +404,15 @@ def link_components(
     coloured = index.join(roots, ["n1", "n2"], "left").select(
         "code", "n1", "n2", "size", "place", F.coalesce("root1", "n1").alias("root1"), F.when(F.col("root1").isNull(), F.col("n2")).otherwise(F.col("root2")).alias("root2")
     )
-    second = _linked(staged(_blocks(staged(coloured, "coloured"), percent), "pairs"), nodes, work, words, percent, filter_bytes)
+    coloured = staged(coloured, "coloured")
+    dropped(*parts)
+    pairs = staged(_blocks(coloured, percent), "pairs")
+    dropped(coloured)
+    second = _linked(pairs, nodes, work, words, percent, filter_bytes)
     final = components(edge(first.unionByName(second))).select(F.col("node.a1").alias("n1"), F.col("node.a2").alias("n2"), F.col("root.a1").alias("r1"), F.col("root.a2").alias("r2"))
     member = nodes.join(final, ["n1", "n2"], "left").withColumns({"r1": F.coalesce("r1", "n1"), "r2": F.coalesce("r2", "n2")})
     member = staged(member, "members")
+    dropped(nodes)
     least = member.groupBy("r1", "r2").agg(F.min("least").alias("component"))
     counts = []
     made = member.join(least, ["r1", "r2"]).select("n1", "n2", "component", "copies")

@@ -58,17 +58,37 @@ def staged(df: DataFrame, name: str, partition_by: tuple[str, ...] = ()) -> Data
     context._vibralake_staged = [*getattr(context, "_vibralake_staged", []), path]
     df.write.option("compression", "zstd").partitionBy(*partition_by).parquet(path)
     if len(context._vibralake_staged) % TIDY_AFTER == 0:
-        gc.collect()
-        spark._jvm.System.gc()
-    return spark.read.schema(df.schema).parquet(path)
+        tidy(spark)
+    made = spark.read.schema(df.schema).parquet(path)
+    made._vibralake_path = path
+    return made
+
+
+def dropped(*tables: DataFrame) -> None:
+    """Delete staged tables that nothing will read any more, and let Spark drop the shuffle files that led to them."""
+    spark = tables[0].sparkSession
+    made = spark.sparkContext._vibralake_staged
+    for path in [t._vibralake_path for t in tables]:
+        _delete(spark, path)
+        made.remove(path)
+    tidy(spark)
+
+
+def tidy(spark: SparkSession) -> None:
+    gc.collect()
+    spark._jvm.System.gc()
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
 def drop_staged(spark: SparkSession) -> int:
     """Delete all tables that staged() has written in this application; call it when results have been read. Returns their number."""
     made = getattr(spark.sparkContext, "_vibralake_staged", [])
     for path in made:
-        target = spark._jvm.org.apache.hadoop.fs.Path(path)
-        target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+        _delete(spark, path)
     done = len(made)
     made.clear()
     return done
